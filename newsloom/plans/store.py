@@ -1,8 +1,8 @@
 """The article store: append-only Parquet tables below one folder.
 
 Every write fills one partition named by its batch or run and replaces it, so a
-retried or replayed run leaves the same rows behind. A run never reads what it
-wrote itself (``run_key``), for the same reason.
+retried or replayed run leaves the same rows behind. For the same reason a stage
+never reads what it wrote itself in an earlier try of the run (``run_key``).
 """
 
 from __future__ import annotations
@@ -79,13 +79,16 @@ class ArticleStore:
     def raw(self, without: str | None = None) -> DataFrame:
         return self.read("articles_raw", without)
 
-    def articles(self, run_key: str | None = None) -> DataFrame:
-        """Current state of every article, as seen before ``run_key``."""
+    def articles(
+        self, relevance_without: str | None = None, summaries_without: str | None = None,
+        sent_without: str | None = None,
+    ) -> DataFrame:
+        """Current state of every article; a stage leaves out what its own run decided."""
         return facts.current_articles(
             self.raw(),
-            self.read("relevance_facts", run_key),
-            self.read("summary_facts", run_key),
-            self.read("sent_facts", run_key),
+            self.read("relevance_facts", relevance_without),
+            self.read("summary_facts", summaries_without),
+            self.read("sent_facts", sent_without),
             keep=("batch_key",),
         )
 
@@ -139,26 +142,26 @@ class ArticleStore:
         )
 
     def for_filtering(self, run_key: str | None = None) -> DataFrame:
-        keys = self.articles(run_key).filter(queues.needs_relevance()).select(
-            "batch_key", "id", "fetched_at"
-        )
+        articles = self.articles(relevance_without=run_key)
+        keys = articles.filter(queues.needs_relevance()).select("batch_key", "id", "fetched_at")
         return self._with_text(keys, [F.col("fetched_at").desc_nulls_last(), F.col("id")])
 
     def for_summarization(
         self, limit: int = C.SUMMARY_QUEUE_LIMIT, run_key: str | None = None
     ) -> DataFrame:
         order = queues.newest_first("published_at")
-        queue = self.articles(run_key).filter(queues.needs_summary()).orderBy(*order)
+        articles = self.articles(summaries_without=run_key)
+        queue = articles.filter(queues.needs_summary()).orderBy(*order)
         keys = queues.take(queue, limit).select("batch_key", "id", "published_at", "fetched_at")
         return self._with_text(broadcast_up_to(keys, limit), order)
 
     def for_digest(
         self, limit: int = C.DIGEST_QUEUE_LIMIT, run_key: str | None = None
     ) -> DataFrame:
-        return queues.digest_candidates(self.articles(run_key), limit)
+        return queues.digest_candidates(self.articles(sent_without=run_key), limit)
 
     def ranked_for_digest(self, limit: int, run_key: str | None = None) -> DataFrame:
-        return queues.ranked_candidates(self.articles(run_key), limit)
+        return queues.ranked_candidates(self.articles(sent_without=run_key), limit)
 
     # -- decisions ------------------------------------------------------------
 

@@ -25,10 +25,19 @@ def strip(expression: str) -> str:
 
 
 def unescaped(expression: str) -> str:
-    """The references that occur in the test pages; the ampersand comes last."""
-    for name, character in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
-        expression = f"replace({expression}, '&{name};', '{character}')"
-    return expression
+    """Character references by name, with or without their semicolon.
+
+    Only the names that occur in the test pages are known; numeric references do not occur.
+    """
+    name = "regexp_extract(p, '^[a-zA-Z][a-zA-Z0-9]*', 0)"
+    rest = "regexp_replace(p, '^[a-zA-Z][a-zA-Z0-9]*;?', '')"
+    known = " ".join(
+        f"WHEN '{known}' THEN '{character}' || {rest}"
+        for known, character in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&"))
+    )
+    decoded = f"CASE {name} WHEN '' THEN '&' || p {known} ELSE '&' || {name} || {rest} END"
+    pieces = f"string_split({expression}, '&')"
+    return f"{pieces}[1] || array_to_string(list_transform({pieces}[2:], lambda p: {decoded}), '')"
 
 
 def html_to_text(expression: str) -> str:
@@ -147,8 +156,8 @@ summary_facts AS (
   SELECT link, upper(split_part(text, '.', 1) || '.'), 'm2', fetched + 240
   FROM facts WHERE quality = 1 AND lang = 'fr'),
 sent_facts AS (
-  SELECT doc_id AS article_id, CAST(epoch(CAST(at AS TIMESTAMP)) AS BIGINT) AS sent
-  FROM facts, (VALUES ('2025-07-02 00:00:00'), ('2025-07-03 00:00:00')) marks(at)
+  SELECT doc_id AS article_id, CAST(epoch(CAST(stamp AS TIMESTAMP)) AS BIGINT) AS sent
+  FROM facts, (VALUES ('2025-07-02 00:00:00'), ('2025-07-03 00:00:00')) marks(stamp)
   WHERE quality = 1 AND lang IN ('fr', 'de')),
 latest_relevance AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY decided DESC) AS nth
