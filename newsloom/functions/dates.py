@@ -71,12 +71,16 @@ def feed_timestamp(text: Column) -> Column:
             .otherwise(F.try_element_at(zones, F.upper(zone)))
         )
 
+    def clock(time: Column) -> Column:
+        return F.when(time.rlike(r"^\d+:\d+$"), F.concat(time, F.lit(":00"))).otherwise(time)
+
     rfc = F.concat(
-        _rfc_day(text, _FEED_RFC), F.lit(" "), F.regexp_extract(text, _FEED_RFC, 4),
+        _rfc_day(text, _FEED_RFC), F.lit(" "), clock(F.regexp_extract(text, _FEED_RFC, 4)),
         offset(F.regexp_extract(text, _FEED_RFC, 5)),
     )
     iso = F.concat(
-        F.regexp_extract(text, _FEED_ISO, 1), F.lit(" "), F.regexp_extract(text, _FEED_ISO, 2),
+        F.regexp_extract(text, _FEED_ISO, 1), F.lit(" "),
+        clock(F.regexp_extract(text, _FEED_ISO, 2)),
         offset(F.regexp_extract(text, _FEED_ISO, 3)),
     )
     return (

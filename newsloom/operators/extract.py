@@ -27,31 +27,31 @@ def extractive_summaries(
 
     ``key`` is unique, so partitioning by it spreads the work, and every later
     step needs rows of one article only: the text moves once and the counts, the
-    ranking and the final string all reuse that partitioning.
+    ranking and the final join all reuse that partitioning. Word rows carry
+    positions instead of sentences, which are looked up again at the end.
     """
     parted = articles.select(key, text).repartition(key)
     words = parted.select(
         key, F.posexplode(sentences_of(F.col(text))).alias("place", "sentence")
-    ).select(key, "place", "sentence", F.explode(words_of(F.col("sentence"))).alias("word"))
-    counted = words.groupBy(key, "place", "word").agg(
-        F.count(F.lit(1)).alias("here"), F.first("sentence").alias("sentence")
-    )
+    ).select(key, "place", F.explode(words_of(F.col("sentence"))).alias("word"))
+    counted = words.groupBy(key, "place", "word").agg(F.count(F.lit(1)).alias("here"))
     in_article = F.sum("here").over(Window.partitionBy(key, "word"))
     scored = (
         counted.withColumn("frequency", in_article)
         .groupBy(key, "place")
-        .agg(
-            (F.sum(F.col("here") * F.col("frequency")) / F.sum("here")).alias("score"),
-            F.first("sentence").alias("sentence"),
-        )
+        .agg((F.sum(F.col("here") * F.col("frequency")) / F.sum("here")).alias("score"))
     )
     ranking = Window.partitionBy(key).orderBy(F.col("score").desc(), "place")
-    best = scored.withColumn("rank", F.row_number().over(ranking)).filter(
-        F.col("rank") <= sentences
+    best = (
+        scored.withColumn("rank", F.row_number().over(ranking))
+        .filter(F.col("rank") <= sentences)
+        .groupBy(key).agg(F.array_sort(F.collect_list("place")).alias("places"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("place", "sentence")))
-    return best.groupBy(key).agg(
-        F.array_join(F.transform(ordered, lambda s: s["sentence"]), " ").alias("summary")
+    return parted.join(best, key).withColumn("found", sentences_of(F.col(text))).select(
+        key,
+        F.array_join(
+            F.transform("places", lambda place: F.get(F.col("found"), place)), " "
+        ).alias("summary"),
     )
 
 
