@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -39,6 +40,11 @@ def _windows_1252() -> Column:
     return _literal_map(known)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Remove white space, including the Unicode kinds, from both ends."""
     return F.btrim(text, F.lit(C.WHITESPACE))
@@ -61,26 +67,30 @@ def _code_point(point: Column) -> Column:
 
 def _decode_reference(piece: Column) -> Column:
     """``piece`` is what followed an ampersand."""
-    name = F.regexp_extract(piece, _ENTITY, 1)
-    rest = F.regexp_replace(piece, _ENTITY, "")
-    point = F.when(
-        name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 16), 16, 10).try_cast("bigint")
-    ).otherwise(F.substring(name, 2, 20).try_cast("bigint"))
-    named = F.coalesce(F.try_element_at(_named_entities(), name), F.concat(F.lit("&"), name))
-    return (
-        F.when(name == "", F.concat(F.lit("&"), piece))
-        .when(name.startswith("#"), F.concat(_code_point(point), rest))
-        .otherwise(F.concat(named, rest))
-    )
+
+    def decode(name: Column) -> Column:
+        rest = F.regexp_replace(piece, _ENTITY, "")
+        point = F.when(
+            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 16), 16, 10).try_cast("bigint")
+        ).otherwise(F.substring(name, 2, 20).try_cast("bigint"))
+        named = F.coalesce(F.try_element_at(_named_entities(), name), F.concat(F.lit("&"), name))
+        return (
+            F.when(name == "", F.concat(F.lit("&"), piece))
+            .when(name.startswith("#"), F.concat(let(point, _code_point), rest))
+            .otherwise(F.concat(named, rest))
+        )
+
+    return let(F.regexp_extract(piece, _ENTITY, 1), decode)
 
 
 def unescape_html(text: Column) -> Column:
     """Replace named and numeric character references."""
-    pieces = F.split(text, "&")
-    decoded = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _decode_reference)
-    return F.when(
-        text.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(decoded, ""))
-    ).otherwise(text)
+
+    def decode(pieces: Column) -> Column:
+        decoded = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _decode_reference)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(decoded, ""))
+
+    return F.when(text.contains("&"), let(F.split(text, "&"), decode)).otherwise(text)
 
 
 def html_to_text(html: Column) -> Column:

@@ -36,40 +36,41 @@ def first_sent(facts: DataFrame) -> DataFrame:
     )
 
 
-def current_articles(
-    raw: DataFrame, relevance: DataFrame, summaries: DataFrame, sent: DataFrame,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """The article table as it stands now.
+def with_relevance(articles: DataFrame, decisions: DataFrame) -> DataFrame:
+    return _with_decision(
+        articles, latest_relevance(decisions), "is_ai_relevant", "ai_filter_model_used"
+    )
+
+
+def with_summary(articles: DataFrame, summaries: DataFrame) -> DataFrame:
+    return _with_decision(
+        articles, latest_summary(summaries), "llm_summary", "summarizer_model_used"
+    )
+
+
+def with_sent(articles: DataFrame, sent: DataFrame) -> DataFrame:
+    return articles.join(first_sent(sent), "id", "left")
+
+
+def _with_decision(articles: DataFrame, latest: DataFrame, *columns: str) -> DataFrame:
+    """Left join by link.
 
     A decision on a link that was not stored yet changed nothing at its time, so
-    decisions older than the article are ignored.
+    one older than the article finds no partner. With that rule in the join
+    condition a later filter on a decision turns the join into an inner one.
     """
+    decided = latest.select(F.col("link").alias("decided_link"), "decided_at", *columns)
+    same = (F.col("link") == F.col("decided_link")) & (F.col("decided_at") >= F.col("fetched_at"))
+    return articles.join(decided, same, "left").drop("decided_link", "decided_at")
 
-    def decided(latest: DataFrame, stamp: str, *columns: str) -> DataFrame:
-        return latest.select("link", F.col("decided_at").alias(stamp), *columns)
-
-    def valid(stamp: str, column: str):
-        return F.when(F.col(stamp) >= F.col("fetched_at"), F.col(column)).alias(column)
 
-    joined = (
-        raw.join(
-            decided(latest_relevance(relevance), "relevance_at",
-                    "is_ai_relevant", "ai_filter_model_used"), "link", "left")
-        .join(
-            decided(latest_summary(summaries), "summary_at",
-                    "llm_summary", "summarizer_model_used"), "link", "left")
-        .join(first_sent(sent), "id", "left")
-    )
-    current = {
-        "is_ai_relevant": valid("relevance_at", "is_ai_relevant"),
-        "ai_filter_model_used": valid("relevance_at", "ai_filter_model_used"),
-        "llm_summary": valid("summary_at", "llm_summary"),
-        "summarizer_model_used": valid("summary_at", "summarizer_model_used"),
-        "user_saved": F.lit(False).alias("user_saved"),
-        "user_marked_interesting": F.lit(False).alias("user_marked_interesting"),
-    }
-    return joined.select(*[current.get(name, F.col(name)) for name in schemas.ARTICLE_COLUMNS], *keep)
+def current_articles(
+    raw: DataFrame, relevance: DataFrame, summaries: DataFrame, sent: DataFrame
+) -> DataFrame:
+    """The article table as it stands now."""
+    current = with_sent(with_summary(with_relevance(raw, relevance), summaries), sent)
+    reserved = {name: F.lit(False) for name in ("user_saved", "user_marked_interesting")}
+    return current.withColumns(reserved).select(*schemas.ARTICLE_COLUMNS)
 
 
 def not_yet_sent(ids: DataFrame, sent: DataFrame) -> DataFrame:

@@ -34,11 +34,14 @@ def column_model(answer: Callable[[DataFrame], Column]) -> Model:
     return run
 
 
-def python_model(answer: Callable[[str, str], str | None]) -> Model:
+def python_model(
+    answer: Callable[[str, str], str | None], partitions: int | None = None
+) -> Model:
     """A model behind a Python call ``answer(system_prompt, prompt)``.
 
-    Only id and prompts travel to the Python workers, in Arrow batches; a call
-    that raises becomes the error of its own row.
+    Requests travel to the Python workers in Arrow batches; a call that raises
+    becomes the error of its own row. ``partitions`` spreads the calls evenly,
+    since model time has nothing to do with the bytes that sized the partitions.
     """
 
     def call(system_prompt: str, prompt: str) -> tuple[str | None, str | None]:
@@ -56,6 +59,8 @@ def python_model(answer: Callable[[str, str], str | None]) -> Model:
             yield frame
 
     def run(requests: DataFrame) -> DataFrame:
+        if partitions is not None:
+            requests = requests.repartition(partitions)
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
         return requests.mapInPandas(batches, f"{fields}, content string, error string")
 

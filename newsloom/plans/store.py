@@ -18,7 +18,7 @@ from newsloom import constants as C
 from newsloom import schemas
 from newsloom.operators import entries as entry_ops
 from newsloom.operators import facts, insertion, queues
-from newsloom.operators.sizing import BROADCAST_ROWS, broadcast_up_to
+from newsloom.operators.sizing import broadcast_up_to
 from newsloom.session import checkpointed
 from newsloom.settings import Settings
 from newsloom.sources.pages import attach_page_text
@@ -79,17 +79,11 @@ class ArticleStore:
     def raw(self, without: str | None = None) -> DataFrame:
         return self.read("articles_raw", without)
 
-    def articles(
-        self, relevance_without: str | None = None, summaries_without: str | None = None,
-        sent_without: str | None = None,
-    ) -> DataFrame:
-        """Current state of every article; a stage leaves out what its own run decided."""
+    def articles(self) -> DataFrame:
+        """Current state of every article."""
         return facts.current_articles(
-            self.raw(),
-            self.read("relevance_facts", relevance_without),
-            self.read("summary_facts", summaries_without),
-            self.read("sent_facts", sent_without),
-            keep=("batch_key",),
+            self.raw(), self.read("relevance_facts"), self.read("summary_facts"),
+            self.read("sent_facts"),
         )
 
     # -- ingest ---------------------------------------------------------------
@@ -129,9 +123,10 @@ class ArticleStore:
         return queues.inserted_sample(self.raw(), added)
 
     # -- queues ---------------------------------------------------------------
-    # Which rows are open is decided without the article text; the text is then
-    # read for the open rows alone. Joining on the partition column as well lets
-    # the scan skip partitions without open rows.
+    # Which rows are open is decided without the article text and with no more
+    # fact tables than needed; the text is then read for the open rows alone.
+    # Joining on the partition column as well lets the scan skip partitions
+    # without open rows. A stage leaves out what its own run wrote (``run_key``).
 
     def _with_text(self, keys: DataFrame, order: list[Column]) -> DataFrame:
         text = self.raw().select("batch_key", "id", "link", "title", "original_summary")
@@ -142,7 +137,7 @@ class ArticleStore:
         )
 
     def for_filtering(self, run_key: str | None = None) -> DataFrame:
-        articles = self.articles(relevance_without=run_key)
+        articles = facts.with_relevance(self.raw(), self.read("relevance_facts", run_key))
         keys = articles.filter(queues.needs_relevance()).select("batch_key", "id", "fetched_at")
         return self._with_text(keys, [F.col("fetched_at").desc_nulls_last(), F.col("id")])
 
@@ -150,18 +145,26 @@ class ArticleStore:
         self, limit: int = C.SUMMARY_QUEUE_LIMIT, run_key: str | None = None
     ) -> DataFrame:
         order = queues.newest_first("published_at")
-        articles = self.articles(summaries_without=run_key)
+        articles = facts.with_summary(
+            facts.with_relevance(self.raw(), self.read("relevance_facts")),
+            self.read("summary_facts", run_key),
+        )
         queue = articles.filter(queues.needs_summary()).orderBy(*order)
         keys = queues.take(queue, limit).select("batch_key", "id", "published_at", "fetched_at")
         return self._with_text(broadcast_up_to(keys, limit), order)
 
+    def _digest_state(self, run_key: str | None) -> DataFrame:
+        articles = facts.with_relevance(self.raw(), self.read("relevance_facts"))
+        summarized = facts.with_summary(articles, self.read("summary_facts"))
+        return facts.with_sent(summarized, self.read("sent_facts", run_key))
+
     def for_digest(
         self, limit: int = C.DIGEST_QUEUE_LIMIT, run_key: str | None = None
     ) -> DataFrame:
-        return queues.digest_candidates(self.articles(sent_without=run_key), limit)
+        return queues.digest_candidates(self._digest_state(run_key), limit)
 
     def ranked_for_digest(self, limit: int, run_key: str | None = None) -> DataFrame:
-        return queues.ranked_candidates(self.articles(sent_without=run_key), limit)
+        return queues.ranked_candidates(self._digest_state(run_key), limit)
 
     # -- decisions ------------------------------------------------------------
 
@@ -195,5 +198,3 @@ class ArticleStore:
     def write_digest(self, documents: DataFrame, run_key: str) -> int:
         return self._replace("digests", documents, run_key)
 
-
-__all__ = ["ArticleStore", "IngestReport", "BROADCAST_ROWS"]

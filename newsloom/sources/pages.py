@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import html_to_text
+from newsloom.functions.text import html_to_text, let
 
 _NOT_CONTENT = "|".join(
     rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>"
@@ -20,13 +20,20 @@ _BLOCK_EDGE = r"(?i)</?(?:body|main|section|div|td)(?:\s[^>]*)?>"
 def article_text(html: Column) -> Column:
     """Main text of a page: its article element, else its longest block; "" when there is none."""
     content = F.regexp_replace(F.coalesce(html, F.lit("")), _NOISE, " ")
-    marked = html_to_text(F.regexp_extract(content, _ARTICLE, 1))
-    blocks = F.transform(F.split(content, _BLOCK_EDGE), html_to_text)
-    longest = F.aggregate(
-        blocks, F.lit(""),
-        lambda best, block: F.when(F.length(block) > F.length(best), block).otherwise(best),
-    )
-    return F.when(content.rlike(_ARTICLE) & (marked != ""), marked).otherwise(longest)
+
+    def longest_block(content: Column) -> Column:
+        return F.aggregate(
+            F.transform(F.split(content, _BLOCK_EDGE), html_to_text), F.lit(""),
+            lambda best, block: F.when(F.length(block) > F.length(best), block).otherwise(best),
+        )
+
+    def main_text(content: Column) -> Column:
+        marked = html_to_text(F.regexp_extract(content, _ARTICLE, 1))
+        return let(
+            marked, lambda text: F.when(text != "", text).otherwise(longest_block(content))
+        )
+
+    return let(content, main_text)
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
