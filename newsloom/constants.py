@@ -77,6 +77,7 @@ DIGEST_SIZE = 5
 INSERTED_SAMPLE_SIZE = 3
 
 # Digest display.
+DIGEST_TAGLINE = "AI highlights at a glance"
 DATE_UNKNOWN = "N/A"
 DATE_DISPLAY_FORMAT = "MMMM dd, yyyy"
 HTML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&#34;"), ("'", "&#39;")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom import constants as C
 from newsloom.functions.dates import display_date
 from newsloom.functions.text import escape_html
 
@@ -33,7 +34,7 @@ def page_head(date: Column, brand: str) -> Column:
         F.lit('<!DOCTYPE html>\n<html lang="en">\n<head><meta charset="UTF-8"><title>'),
         name, F.lit(" Digest — "), escape_html(date),
         F.lit("</title></head>\n<body>\n<h1>"), name, F.lit(" Digest</h1>\n<div>"),
-        escape_html(date), F.lit(" — AI highlights at a glance</div>\n"),
+        escape_html(date), F.lit(f" — {C.DIGEST_TAGLINE}</div>\n"),
     )
 
 
@@ -52,7 +53,7 @@ def digest_documents(
     For digests of a bounded size. The fragments of one document meet in one
     row; use :func:`digest_fragments` when there is no limit.
     """
-    date = date if date is not None else F.date_format(F.current_timestamp(), "MMMM dd, yyyy")
+    date = date if date is not None else F.date_format(F.current_timestamp(), C.DATE_DISPLAY_FORMAT)
     ordered = F.array_sort(F.collect_list(F.struct(F.col("rank"), item_html().alias("html"))))
     grouped = items.groupBy("digest_id").agg(
         F.array_join(F.transform(ordered, lambda item: item["html"]), "").alias("body"),

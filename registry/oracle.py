@@ -89,6 +89,14 @@ ORACLE: dict[str, str] = {
     "A01_source_catalogue": _with(S.SOURCES) + """
 SELECT source_ordinal, name, url, tags, weight FROM sources WHERE enabled""",
 
+    "A02_rss_files": _with(S.FEED_ENTRIES) + f"""
+SELECT feed_url, link, {strip('title')} AS title, published_s - 7200 AS published_s,
+  {S.html_to_text('html')} AS feed_text FROM feed_entries""",
+
+    "A02_atom_files": _with(S.FEED_ENTRIES) + f"""
+SELECT feed_url, link, {strip('title')} AS title, published_s,
+  {S.html_to_text('html')} AS feed_text FROM feed_entries""",
+
     "A03_entries_of_sources": _with(S.OFFERED) + """
 SELECT source_ordinal, entry_ordinal, source_name, link, title FROM offered""",
 

@@ -102,6 +102,7 @@ FEED_ENTRIES = f"""feed_entries AS (
     split_part(d.text, chr(10), 1) AS title,
     CASE WHEN d.lang = 'en' THEN strftime({_STAMP}, '%Y-%m-%d %H:%M:%S')
          ELSE strftime({_STAMP}, '%Y/%m/%d %H:%M') END AS published_at,
+    CAST(epoch({_STAMP}) AS BIGINT) AS published_s,
     {_HTML} AS html
   FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id)"""
 

@@ -18,7 +18,7 @@ from newsloom.plans.lifecycle import Models, run_curation
 from newsloom.plans.store import ArticleStore
 from newsloom.session import apply_session_conf, shared_folder
 from newsloom.settings import Settings
-from newsloom.sources import catalogue, pages
+from newsloom.sources import catalogue, feeds, pages
 from newsloom.streaming.incremental import start_ingest
 from registry import inputs
 
@@ -56,6 +56,52 @@ def source_catalogue(spark, sf_dir):
     )
 
 
+def _landed_as(spark, rows: DataFrame, row_tag: str) -> str:
+    """Write feed files below a new folder, one per feed, as a collector would land them."""
+    folder = f"{shared_folder(spark)}/landed-{uuid.uuid4()}"
+    writer = rows.write.format("xml").option("rootTag", "feed").option("rowTag", row_tag)
+    writer.partitionBy("feed_url").save(folder)
+    return folder
+
+
+def _landed_result(entries_read: DataFrame) -> DataFrame:
+    return entries_read.select(
+        "feed_url", "link", entries.clean_title(col("title")).alias("title"),
+        F.unix_seconds("published_parsed").alias("published_s"),
+        entries.entry_text(col("content"), col("summary"), col("description")).alias("feed_text"),
+    )
+
+
+@query("A02_rss_files")
+def rss_files(spark, sf_dir):
+    """The documents landed as RSS items and read back."""
+    html = entries.entry_html(col("content"), col("summary"), col("description"))
+    stamp = F.date_format(inputs.published_ts(col("entry_ordinal")), "EEE, dd MMM yyyy HH:mm:ss")
+    items = inputs.feed_entries(spark, sf_dir).select(
+        "feed_url", "title", "link", F.concat(stamp, F.lit(" +0200")).alias("pubDate"),
+        html.alias("description"),
+    )
+    return _landed_result(feeds.read_rss(spark, _landed_as(spark, items, "item")))
+
+
+@query("A02_atom_files")
+def atom_files(spark, sf_dir):
+    """The documents landed as Atom entries and read back."""
+    html = entries.entry_html(col("content"), col("summary"), col("description"))
+    stamp = F.date_format(inputs.published_ts(col("entry_ordinal")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def link(href, rel):
+        return F.struct(href.alias("_href"), F.lit(rel).alias("_rel"))
+
+    items = inputs.feed_entries(spark, sf_dir).select(
+        "feed_url", "title",
+        F.array(link(col("feed_url"), "self"), link(col("link"), "alternate")).alias("link"),
+        stamp.alias("published"),
+        F.struct(html.alias("_VALUE"), F.lit("html").alias("_type")).alias("content"),
+    )
+    return _landed_result(feeds.read_atom(spark, _landed_as(spark, items, "entry")))
+
+
 def _entries(spark, sf_dir):
     return entries.entries_of_sources(
         inputs.feed_entries(spark, sf_dir), inputs.sources(spark, sf_dir)

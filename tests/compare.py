@@ -1,4 +1,4 @@
-"""Compare a registered query with its SQL twin, value by value."""
+"""Compare a registered query with its SQL twin: columns, types and every value."""
 
 from __future__ import annotations
 
@@ -11,6 +11,11 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+}
+
 
 def open_duckdb(sf_dir: str):
     connection = duckdb.connect()
@@ -21,19 +26,24 @@ def open_duckdb(sf_dir: str):
     return connection
 
 
-def difference(spark_rows, columns, connection, sql) -> str | None:
-    """What differs between Spark rows and the SQL result, None when nothing does."""
+def difference(df, connection, sql) -> tuple[int, str | None]:
+    """Spark row count, and what differs from the SQL result (None when nothing does)."""
+    rows, columns = df.collect(), df.columns
     cursor = connection.execute(sql)
     names = [item[0] for item in cursor.description]
     if sorted(names) != sorted(columns):
-        return f"columns {sorted(columns)} != {sorted(names)}"
+        return len(rows), f"columns {sorted(columns)} != {sorted(names)}"
+    types = {item[0]: str(item[1]) for item in cursor.description}
+    odd = [(n, t, types[n]) for n, t in df.dtypes if TYPES.get(t) != types[n]]
+    if odd:
+        return len(rows), f"types {odd}"
     order = [names.index(name) for name in columns]
     expected = Counter(tuple(row[i] for i in order) for row in cursor.fetchall())
-    actual = Counter(tuple(row) for row in spark_rows)
+    actual = Counter(tuple(row) for row in rows)
     if actual == expected:
-        return None
+        return len(rows), None
     missing, extra = list((expected - actual).items())[:2], list((actual - expected).items())[:2]
-    return (
+    return len(rows), (
         f"rows {actual.total()} != {expected.total()} or values differ: "
         f"missing {str(missing)[:1500]} extra {str(extra)[:1500]}"
     )
