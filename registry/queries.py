@@ -496,9 +496,9 @@ def incremental_ingest(spark, sf_dir):
     """The documents as a stream of entries into an empty store."""
     store = _new_store(spark)
     page = inputs.table(spark, sf_dir, "pages")
-    documents = (
-        spark.readStream.schema(inputs.table(spark, sf_dir, "documents").schema)
-        .option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    # The pattern matches the table whether it is one file or a folder of files.
+    documents = spark.readStream.schema(inputs.table(spark, sf_dir, "documents").schema).parquet(
+        f"{sf_dir}/documents.parque[t]"
     )
     stream = start_ingest(
         store, inputs.entries_of_documents(documents, page), inputs.sources(spark, sf_dir),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 
@@ -20,9 +21,9 @@ TYPES = {
 def open_duckdb(sf_dir: str):
     connection = duckdb.connect()
     for table in TABLES:
-        connection.execute(
-            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')"
-        )
+        path = Path(sf_dir, f"{table}.parquet")
+        files = path / "*.parquet" if path.is_dir() else path
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{files}')")
     return connection
 
 
