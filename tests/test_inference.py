@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom import constants as C
-from newsloom.functions.text import strip
 from newsloom.operators import attempts, inference
 from newsloom.operators.extract import extractive_summaries
 from registry.inputs import inference_attempts
