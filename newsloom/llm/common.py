@@ -8,8 +8,10 @@ written once below ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,23 @@ def small(df: DataFrame, row_bytes: Column | int) -> DataFrame:
 def words_of(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
+
+
+def each_text(docs: DataFrame, doc_id: str, text: str, work: Callable[[list[str]], dict], schema: str) -> DataFrame:
+    """The doc_id of every row with the columns that ``work`` makes of the texts of a batch; null counts as empty."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = work(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **made})
+
+    return rows.mapInArrow(of_batches, f"doc_id {kind}, {schema}")
+
+
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a shared folder and the folder's path in it."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(uri)

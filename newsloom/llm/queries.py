@@ -4,21 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import exact, quality
+from newsloom.llm import exact, idfiles, quality, transducer
 from newsloom.llm.common import documents
 
+#: The id that ends each document in the id files.
+END_ID = 2
+
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.classes(documents(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = idfiles.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return idfiles.read(manifest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_token_counts": op4_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_files": op9_token_files,
 }
