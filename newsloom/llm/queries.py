@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import exact, idfiles, quality, transducer
+from newsloom.llm import exact, idfiles, lexicon, quality, transducer
 from newsloom.llm.common import documents
 
 #: The id that ends each document in the id files.
@@ -22,6 +22,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
@@ -34,6 +38,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_bpe_codec": op5_bpe_codec,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
 }
