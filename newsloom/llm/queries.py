@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import exact, idfiles, lexicon, quality, transducer
+from newsloom.llm import exact, idfiles, lexicon, minhash, quality, transducer
 from newsloom.llm.common import documents
 
 #: The id that ends each document in the id files.
@@ -35,10 +35,15 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read(manifest)
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.linked(documents(spark, sf_dir), 4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
+    "op10_minhash": op10_minhash,
 }
