@@ -32,10 +32,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
+def landed(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

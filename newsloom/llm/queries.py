@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import exact, idfiles, lexicon, minhash, quality, transducer
+from newsloom.llm import exact, idfiles, lexicon, minhash, quality, suffix, transducer
 from newsloom.llm.common import documents
 
 #: The id that ends each document in the id files.
 END_ID = 2
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.spans_removed(documents(spark, sf_dir))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.classes(documents(spark, sf_dir))
 
@@ -40,6 +44,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
