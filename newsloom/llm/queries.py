@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import exact, idfiles, lexicon, minhash, quality, suffix, transducer
+from newsloom.llm import exact, idfiles, language, lexicon, minhash, quality, suffix, transducer
 from newsloom.llm.common import documents
 
 #: The id that ends each document in the id files.
@@ -22,6 +22,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.classes(documents(spark, sf_dir))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.cross_checked(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -46,6 +50,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
     "op8_quality_rules": op8_quality_rules,
