@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import exact, quality
+from newsloom.llm import exact, minhash, packing, quality, suffix
 from newsloom.llm.common import documents, landed
 
 
@@ -18,9 +18,27 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.deduplicated(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    return minhash.deduplicated(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages of 400 bytes or more that repeat."""
+    return suffix.deduplicated(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The batch and slot of every segment of every document."""
+    return packing.packed(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("suffix dedup", suffix_dedup),
+    ("packing", pack),
 ]
 
 #: Several stages have no SQL form; tests/llm compares the stages with brute force.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import exact, idfiles, language, lexicon, minhash, quality, suffix, transducer
+from newsloom.llm import crossentropy, exact, idfiles, language, lexicon, minhash, packing, quality, suffix, transducer
 from newsloom.llm.common import documents
 
 #: The id that ends each document in the id files.
@@ -34,6 +34,15 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = crossentropy.good_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return crossentropy.scored(documents(spark, sf_dir), good)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
@@ -53,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_cross_entropy": op6_cross_entropy,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_minhash": op10_minhash,
