@@ -18,6 +18,7 @@ def digest_items(candidates: DataFrame) -> DataFrame:
     )
 
 
+# The markup of an item, its head and its foot.
 def item_html() -> Column:
     """Fragment of one item: linked heading, source and date line, summary, rule."""
     slot = {name: escape_html(F.col(name)) for name in DIGEST_ITEM}
@@ -48,19 +49,22 @@ def page_foot(brand: str) -> Column:
 def digest_documents(
     items: DataFrame, date: Column | None = None, brand: str = "News"
 ) -> DataFrame:
-    """One document per ``digest_id`` with its items in ``rank`` order.
+    """One document per ``digest_id`` and part with its items in ``rank`` order.
 
-    For digests of a bounded size. The fragments of one document meet in one
-    row; use :func:`digest_fragments` when there is no limit.
+    The fragments of one document meet in one row, so a long digest is cut into parts
+    of a bounded number of items (column ``part``, one part where there is none). Each
+    part has head and foot.
     """
+    if "part" not in items.columns:
+        items = items.withColumn("part", F.lit(0).cast("long"))
     date = date if date is not None else F.date_format(F.current_timestamp(), C.DATE_DISPLAY_FORMAT)
     ordered = F.array_sort(F.collect_list(F.struct(F.col("rank"), item_html().alias("html"))))
-    grouped = items.groupBy("digest_id").agg(
+    grouped = items.groupBy("digest_id", "part").agg(
         F.array_join(F.transform(ordered, lambda item: item["html"]), "").alias("body"),
         F.count(F.lit(1)).alias("items"),
     )
     return grouped.select(
-        "digest_id",
+        "digest_id", "part",
         F.concat(F.lit(f"{brand} Digest - "), date).alias("subject"),
         F.concat(page_head(date, brand), F.col("body"), page_foot(brand)).alias("html"),
         "items",

@@ -31,9 +31,9 @@ def _latest(facts: DataFrame, **columns: str) -> DataFrame:
 
 
 def first_sent(facts: DataFrame) -> DataFrame:
-    return facts.groupBy(F.col("article_id").alias("id")).agg(
-        F.min("sent_at").alias("sent_in_newsletter_at")
-    )
+    """First mark of an article: by link if the marks carry it, else by id."""
+    key = F.col("link") if "link" in facts.columns else F.col("article_id").alias("id")
+    return facts.groupBy(key).agg(F.min("sent_at").alias("sent_in_newsletter_at"))
 
 
 def with_relevance(articles: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -49,7 +49,8 @@ def with_summary(articles: DataFrame, summaries: DataFrame) -> DataFrame:
 
 
 def with_sent(articles: DataFrame, sent: DataFrame) -> DataFrame:
-    return articles.join(first_sent(sent), "id", "left")
+    first = first_sent(sent)
+    return articles.join(first, first.columns[0], "left")
 
 
 def _with_decision(articles: DataFrame, latest: DataFrame, *columns: str) -> DataFrame:
@@ -67,12 +68,37 @@ def _with_decision(articles: DataFrame, latest: DataFrame, *columns: str) -> Dat
 def current_articles(
     raw: DataFrame, relevance: DataFrame, summaries: DataFrame, sent: DataFrame
 ) -> DataFrame:
-    """The article table as it stands now."""
-    current = with_sent(with_summary(with_relevance(raw, relevance), summaries), sent)
+    """The article table as it stands now.
+
+    With marks by link all facts become one narrow row for each link first, so the
+    articles and their text are shuffled once.
+    """
+    if "link" in sent.columns:
+        current = _merged(raw, relevance, summaries, sent)
+    else:
+        current = with_sent(with_summary(with_relevance(raw, relevance), summaries), sent)
     reserved = {name: F.lit(False) for name in ("user_saved", "user_marked_interesting")}
     return current.withColumns(reserved).select(*schemas.ARTICLE_COLUMNS)
 
 
+def _merged(raw: DataFrame, relevance: DataFrame, summaries: DataFrame, sent: DataFrame) -> DataFrame:
+    decided, written = latest_relevance(relevance), latest_summary(summaries)
+    by_link = (
+        decided.withColumnRenamed("decided_at", "relevance_at")
+        .join(written.withColumnRenamed("decided_at", "summary_at"), "link", "full")
+        .join(first_sent(sent), "link", "full")
+    )
+    # A decision on a link that was not stored yet changed nothing at its time.
+    rules = {
+        "relevance_at": ("is_ai_relevant", "ai_filter_model_used"),
+        "summary_at": ("llm_summary", "summarizer_model_used"),
+    }
+    return raw.join(by_link, "link", "left").withColumns({
+        name: F.when(F.col(at) >= F.col("fetched_at"), F.col(name))
+        for at, names in rules.items() for name in names
+    })
+
+
 def not_yet_sent(ids: DataFrame, sent: DataFrame) -> DataFrame:
     """Ids (column ``article_id``) that may still be marked as sent."""
     return ids.select("article_id").distinct().join(sent, "article_id", "left_anti")

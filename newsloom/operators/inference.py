@@ -67,6 +67,39 @@ def python_model(
     return run
 
 
+def batch_model(
+    answer: Callable[[list[str], list[str]], list[str | None]], partitions: int | None = None
+) -> Model:
+    """A model behind a call that takes the system prompts and prompts of a whole batch.
+
+    A call that raises, or gives another number of answers, fails all rows of its batch.
+    """
+
+    def batches(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            error = None
+            try:
+                answers = list(answer(frame["system_prompt"].tolist(), frame["prompt"].tolist()))
+                if len(answers) != len(frame):
+                    error = f"{len(answers)} answers to {len(frame)} requests"
+            except Exception as raised:
+                error = str(raised)
+            if error is not None:
+                answers = [None] * len(frame)
+            frame["content"] = pd.Series(answers, dtype=object, index=frame.index)
+            errors = [error or ("no answer" if a is None else None) for a in answers]
+            frame["error"] = pd.Series(errors, dtype=object, index=frame.index)
+            yield frame
+
+    def run(requests: DataFrame) -> DataFrame:
+        if partitions is not None:
+            requests = requests.repartition(partitions)
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
+        return requests.mapInPandas(batches, f"{fields}, content string, error string")
+
+    return run
+
+
 def term_model(terms: Iterable[str]) -> Model:
     """Offline relevance model: "yes" when the request's article names one of the terms."""
     pattern = "|".join(term.lower() for term in terms)
@@ -136,8 +169,9 @@ def relevance_requests(articles: DataFrame) -> DataFrame:
         F.col("link").alias("request_id"),
         F.lit(C.RELEVANCE_SYSTEM_PROMPT).alias("system_prompt"),
         chat.relevance_prompt(title, text).alias("prompt"),
-        chat.relevance_title(title).alias("title"),
-        chat.relevance_text(text).alias("text"),
+        # The prompt is cut to its budget; a column model reads the whole article.
+        "title",
+        text.alias("text"),
     )
 
 

@@ -18,12 +18,16 @@ def take(df: DataFrame, limit: int) -> DataFrame:
     return df if limit < 0 else df.limit(limit)
 
 
-def newest_first(order_by: str) -> list[Column]:
+#: What a digest shows of an article.
+CANDIDATE = ("id", "link", "title", "llm_summary", "source_name", "published_at")
+
+
+def newest_first(order_by: str, id_column: str = "id") -> list[Column]:
     newest = (
         F.col("published_at") if order_by == "published_at"
         else published_timestamp(F.col("published_at"))
     )
-    return [newest.desc_nulls_last(), F.col("fetched_at").desc_nulls_last(), F.col("id")]
+    return [newest.desc_nulls_last(), F.col("fetched_at").desc_nulls_last(), F.col(id_column)]
 
 
 def needs_relevance() -> Column:

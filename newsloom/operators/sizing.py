@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a few short columns (a link, an id, a stamp): some tens of megabytes at most.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
-def broadcast_up_to(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when its known row count allows, else left to the planner."""
-    return F.broadcast(df) if 0 <= rows <= limit else df
+def broadcast_small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its rows and the bytes of its text allow, else left to the planner.
+
+    Measuring is one aggregate; call it on a table that is already written.
+    """
+    texts = [F.octet_length(F.coalesce(F.col(n), F.lit(""))) for n, t in df.dtypes if t == "string"]
+    row_bytes = sum(texts, F.lit(16 * len(df.columns)))
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes).alias("bytes")).first()
+    small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    return F.broadcast(df) if small else df

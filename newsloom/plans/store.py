@@ -1,8 +1,10 @@
 """The article store: append-only Parquet tables below one folder.
 
-Every write fills one partition named by its batch or run and replaces it, so a
-retried or replayed run leaves the same rows behind. For the same reason a stage
-never reads what it wrote itself in an earlier try of the run (``run_key``).
+A write adds to the partition named by its batch or run and never removes a row. An
+ingest adds only links that no batch holds yet, and a stage takes only rows that are
+still open, so a retried or replayed run adds nothing and a run key that is used again
+keeps what it wrote before. Stored ids and ``fetched_at`` never change. The one thing
+that is replaced is the text of a digest, which follows from its stored selection.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +20,7 @@ from newsloom import constants as C
 from newsloom import schemas
 from newsloom.operators import entries as entry_ops
 from newsloom.operators import facts, insertion, queues
-from newsloom.operators.sizing import broadcast_up_to
+from newsloom.operators.sizing import broadcast_small
 from newsloom.session import checkpointed
 from newsloom.settings import Settings
 from newsloom.sources.pages import attach_page_text
@@ -28,6 +30,7 @@ TABLES: dict[str, tuple[T.StructType, str]] = {
     "relevance_facts": (schemas.RELEVANCE_FACTS, "run_key"),
     "summary_facts": (schemas.SUMMARY_FACTS, "run_key"),
     "sent_facts": (schemas.SENT_FACTS, "run_key"),
+    "digest_items": (schemas.DIGEST_ITEMS, "run_key"),
     "digests": (schemas.DIGESTS, "run_key"),
 }
 
@@ -55,14 +58,15 @@ class ArticleStore:
             empty = self.spark.createDataFrame([], schema)
             empty.write.mode("ignore").partitionBy(key).parquet(self.path(table))
 
-    def read(self, table: str, without: str | None = None) -> DataFrame:
-        """A table, optionally without one partition (pruned at planning time)."""
-        schema, key = TABLES[table]
-        df = self.spark.read.schema(schema).parquet(self.path(table))
-        return df if without is None else df.filter(F.col(key) != without)
+    def read(self, table: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[table][0]).parquet(self.path(table))
+
+    def of_run(self, table: str, key: str) -> DataFrame:
+        """The rows of one batch or run; the scan reads its partition alone."""
+        return self.read(table).filter(F.col(TABLES[table][1]) == key)
 
-    def _replace(self, table: str, df: DataFrame, key: str) -> int:
-        """Write one partition and return its row count, observed during the write."""
+    def _write(self, table: str, df: DataFrame, key: str, mode: str = "append") -> int:
+        """Write to one partition and return the rows written, observed during the write."""
         schema, partition = TABLES[table]
         written = Observation()
         columns = [
@@ -71,13 +75,13 @@ class ArticleStore:
         (
             df.select(*columns)
             .observe(written, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
+            .write.mode(mode)
             .parquet(f"{self.path(table)}/{partition}={quote(key, safe='')}")
         )
         return written.get["rows"]
 
-    def raw(self, without: str | None = None) -> DataFrame:
-        return self.read("articles_raw", without)
+    def raw(self) -> DataFrame:
+        return self.read("articles_raw")
 
     def articles(self) -> DataFrame:
         """Current state of every article."""
@@ -92,20 +96,25 @@ class ArticleStore:
         self, entries: DataFrame, sources: DataFrame, batch_key: str,
         pages: DataFrame | None = None,
     ) -> IngestReport:
-        """Insert the entries of enabled sources whose link is new."""
+        """Insert the entries of enabled sources whose link no batch holds yet.
+
+        ``newly_added`` counts the offered links that ``batch_key`` holds, so a replay
+        reports what its first try did.
+        """
         offered = entry_ops.entries_of_sources(entries, sources)
         seen = Observation()
         keys = offered.select("link", *insertion.ARRIVAL).observe(
             seen, F.count(F.lit(1)).alias("rows")
         )
         firsts = checkpointed(insertion.first_arrivals(keys))
-        stored = self.raw(without=batch_key)
+        stored = self.raw()
         # Of the stored links only those offered again matter; a small batch is
         # broadcast to their scan, so the store itself is not shuffled.
-        offered_links = broadcast_up_to(firsts.select("link"), firsts.count())
+        offered_links = broadcast_small(firsts.select("link"))
         known = stored.select("link").join(offered_links, "link", "left_semi")
+        before = self.of_run("articles_raw", batch_key).join(offered_links, "link", "left_semi").count()
         arrivals = insertion.with_dense_ids(
-            insertion.new_arrivals_of(firsts, known), insertion.ARRIVAL,
+            insertion.new_arrivals_of(firsts, known), [*insertion.ARRIVAL, "link"],
             start=insertion.next_id(stored),
         )
         rows = insertion.select_arrivals(offered, arrivals)
@@ -116,8 +125,8 @@ class ArticleStore:
         inserted = entry_ops.article_rows(
             rows, self.settings.feed_fallback_threshold, keep=("id",)
         ).withColumn("fetched_at", F.date_trunc("second", F.current_timestamp()))
-        added = self._replace("articles_raw", inserted, batch_key)
-        return IngestReport(seen.get["rows"], added)
+        added = self._write("articles_raw", inserted, batch_key)
+        return IngestReport(seen.get["rows"], before + added)
 
     def latest_inserted(self, added: int) -> DataFrame:
         return queues.inserted_sample(self.raw(), added)
@@ -126,45 +135,56 @@ class ArticleStore:
     # Which rows are open is decided without the article text and with no more
     # fact tables than needed; the text is then read for the open rows alone.
     # Joining on the partition column as well lets the scan skip partitions
-    # without open rows. A stage leaves out what its own run wrote (``run_key``).
-
-    def _with_text(self, keys: DataFrame, order: list[Column]) -> DataFrame:
-        text = self.raw().select("batch_key", "id", "link", "title", "original_summary")
-        return (
-            text.join(keys, ["batch_key", "id"])
-            .orderBy(*order)
-            .select("id", "link", "title", "original_summary")
-        )
+    # without open rows.
 
-    def for_filtering(self, run_key: str | None = None) -> DataFrame:
-        articles = facts.with_relevance(self.raw(), self.read("relevance_facts", run_key))
+    _QUEUE = ("id", "link", "title", "original_summary")
+
+    def _with_text(self, keys: DataFrame) -> DataFrame:
+        text = self.raw().select("batch_key", *self._QUEUE)
+        return text.join(keys, ["batch_key", "id"])
+
+    def open_for_filtering(self) -> DataFrame:
+        """The articles without a decision, in no order, for a model that needs none."""
+        articles = facts.with_relevance(self.raw(), self.read("relevance_facts"))
         keys = articles.filter(queues.needs_relevance()).select("batch_key", "id", "fetched_at")
-        return self._with_text(keys, [F.col("fetched_at").desc_nulls_last(), F.col("id")])
+        return self._with_text(keys)
 
-    def for_summarization(
-        self, limit: int = C.SUMMARY_QUEUE_LIMIT, run_key: str | None = None
-    ) -> DataFrame:
-        order = queues.newest_first("published_at")
+    def for_filtering(self) -> DataFrame:
+        newest = [F.col("fetched_at").desc_nulls_last(), F.col("id")]
+        return self.open_for_filtering().orderBy(*newest).select(*self._QUEUE)
+
+    def open_for_summarization(self, limit: int) -> DataFrame:
+        """The newest relevant articles without a summary, in no order."""
         articles = facts.with_summary(
             facts.with_relevance(self.raw(), self.read("relevance_facts")),
-            self.read("summary_facts", run_key),
+            self.read("summary_facts"),
         )
-        queue = articles.filter(queues.needs_summary()).orderBy(*order)
-        keys = queues.take(queue, limit).select("batch_key", "id", "published_at", "fetched_at")
-        return self._with_text(broadcast_up_to(keys, limit), order)
+        queue = articles.filter(queues.needs_summary())
+        if limit >= 0:
+            queue = queue.orderBy(*queues.newest_first("published_at")).limit(limit)
+        return self._with_text(queue.select("batch_key", "id", "published_at", "fetched_at"))
+
+    def for_summarization(self, limit: int = C.SUMMARY_QUEUE_LIMIT) -> DataFrame:
+        order = queues.newest_first("published_at")
+        return self.open_for_summarization(limit).orderBy(*order).select(*self._QUEUE)
 
-    def _digest_state(self, run_key: str | None) -> DataFrame:
+    def _digest_state(self) -> DataFrame:
         articles = facts.with_relevance(self.raw(), self.read("relevance_facts"))
         summarized = facts.with_summary(articles, self.read("summary_facts"))
-        return facts.with_sent(summarized, self.read("sent_facts", run_key))
+        return facts.with_sent(summarized, self.read("sent_facts"))
 
-    def for_digest(
-        self, limit: int = C.DIGEST_QUEUE_LIMIT, run_key: str | None = None
-    ) -> DataFrame:
-        return queues.digest_candidates(self._digest_state(run_key), limit)
+    def for_digest(self, limit: int = C.DIGEST_QUEUE_LIMIT) -> DataFrame:
+        return queues.digest_candidates(self._digest_state(), limit)
 
-    def ranked_for_digest(self, limit: int, run_key: str | None = None) -> DataFrame:
-        return queues.ranked_candidates(self._digest_state(run_key), limit)
+    def ranked_for_digest(self, limit: int) -> DataFrame:
+        """The digest candidates with their rank, numbered without a global window."""
+        order = queues.newest_first("published_at")
+        top = queues.take(self._digest_state().filter(queues.ready_for_digest()).orderBy(*order), limit)
+        ranked = insertion.with_dense_ids(
+            top.select(*queues.CANDIDATE, "fetched_at").withColumnRenamed("id", "article_id"),
+            queues.newest_first("published_at", "article_id"), start=1,
+        )
+        return ranked.withColumnRenamed("id", "rank").withColumnRenamed("article_id", "id").drop("fetched_at")
 
     # -- decisions ------------------------------------------------------------
 
@@ -182,19 +202,29 @@ class ArticleStore:
             if field.name not in (*decisions.columns, "decided_at", key):
                 decisions = decisions.withColumn(field.name, F.lit(None))
         usable = decisions.filter(F.coalesce(F.col("link"), F.lit("")) != "")
-        return self._replace(table, usable.withColumn("decided_at", F.current_timestamp()), run_key)
+        return self._write(table, usable.withColumn("decided_at", F.current_timestamp()), run_key)
 
     def mark_sent(self, ids: DataFrame, digest_id: str, run_key: str) -> int:
-        """Mark ids (column ``article_id``) that exist and are not marked yet; how many were."""
-        known = self.raw().select(F.col("id").alias("article_id"))
-        open_ids = facts.not_yet_sent(ids, self.read("sent_facts", run_key))
+        """Mark ids (column ``article_id``) that exist and are not marked yet; how many were.
+
+        The first mark of an article stands. Marks carry the link, by which they are read.
+        """
+        known = self.raw().select(F.col("id").alias("article_id"), "link")
+        open_ids = facts.not_yet_sent(ids, self.read("sent_facts"))
         rows = known.join(open_ids, "article_id", "left_semi").select(
-            "article_id",
+            "article_id", "link",
             F.date_trunc("second", F.current_timestamp()).alias("sent_at"),
             F.lit(digest_id).alias("digest_id"),
         )
-        return self._replace("sent_facts", rows, run_key)
+        return self._write("sent_facts", rows, run_key)
 
-    def write_digest(self, documents: DataFrame, run_key: str) -> int:
-        return self._replace("digests", documents, run_key)
+    def digest_selection(self, run_key: str, limit: int) -> DataFrame:
+        """The ranked articles of a digest, chosen once and kept under its run key."""
+        chosen = self.of_run("digest_items", run_key)
+        if chosen.isEmpty():
+            self._write("digest_items", self.ranked_for_digest(limit), run_key, mode="overwrite")
+            chosen = self.of_run("digest_items", run_key)
+        return chosen
 
+    def write_digest(self, documents: DataFrame, run_key: str) -> int:
+        return self._write("digests", documents, run_key, mode="overwrite")

@@ -70,13 +70,27 @@ SUMMARY_FACTS = _struct(
 
 SENT_FACTS = _struct(
     ("article_id", LONG, False),
+    ("link", STRING, True),
     ("sent_at", TIMESTAMP, False),
     ("digest_id", STRING, True),
     ("run_key", STRING, True),
 )
 
+DIGEST_ITEMS = _struct(
+    ("id", LONG, False),
+    ("link", STRING, False),
+    ("title", STRING, True),
+    ("llm_summary", STRING, True),
+    ("source_name", STRING, True),
+    ("published_at", STRING, True),
+    ("rank", LONG, False),
+    ("run_key", STRING, True),
+)
+
+# A digest is delivered in parts of a bounded number of items; most have one.
 DIGESTS = _struct(
     ("digest_id", STRING, False),
+    ("part", LONG, False),
     ("subject", STRING, True),
     ("html", STRING, True),
     ("items", LONG, True),

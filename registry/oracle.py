@@ -5,6 +5,7 @@ from __future__ import annotations
 from newsloom import constants as C
 from registry import inputs
 from registry import oracle_inputs as S
+from registry.editorial import EDITORIAL_SQL
 from registry.oracle_inputs import quoted, strip
 
 SMALL_BUDGET = 270
@@ -60,7 +61,7 @@ _FOOT = "<footer>Delivered by Morning News</footer>\n</body>\n</html>\n"
 
 _TERMS = "|".join(inputs.RELEVANCE_TERMS)
 _IS_RELEVANT = (
-    rf"regexp_matches(lower({_RELEVANCE_TITLE} || ' ' || {_RELEVANCE_TEXT}), "
+    rf"regexp_matches(lower(concat_ws(' ', title, original_summary)), "
     rf"'(^|[^\p{{L}}\p{{N}}])({_TERMS})([^\p{{L}}\p{{N}}]|$)')"
 )
 
@@ -97,6 +98,10 @@ SELECT feed_url, link, {strip('title')} AS title, published_s - 7200 AS publishe
 SELECT feed_url, link, {strip('title')} AS title, published_s,
   {S.html_to_text('html')} AS feed_text FROM feed_entries""",
 
+    "A02_rss_guid_links": _with(S.FEED_ENTRIES) + f"""
+SELECT feed_url, CASE WHEN entry_ordinal % 3 <> 0 THEN link END AS link,
+  {strip('title')} AS title FROM feed_entries""",
+
     "A03_entries_of_sources": _with(S.OFFERED) + """
 SELECT source_ordinal, entry_ordinal, source_name, link, title FROM offered""",
 
@@ -318,4 +323,17 @@ SELECT d.id, d.link, d.title, d.original_summary, d.is_ai_relevant,
   s.summary AS llm_summary,
   CASE WHEN d.is_ai_relevant THEN 'extractive' END AS summarizer_model_used
 FROM decided d LEFT JOIN summaries s USING (id)""",
+
+    "A41_replayed_ingest": _with(S.OFFERED, S.TWO_BATCHES) + """
+SELECT id, link, CASE WHEN batch = 1 THEN true END AS is_ai_relevant, batch = 1 AS sent
+FROM batches""",
+
+    "A42_second_run_same_key": _with(
+        S.OFFERED, S.TWO_BATCHES,
+        f"""stored_texts AS (
+  SELECT id, link, {strip('title')} AS title, {S.html_to_text('html')} AS original_summary FROM batches)""",
+    ) + f"""
+SELECT id, link, title, {_IS_RELEVANT} AS is_ai_relevant FROM stored_texts""",
+
+    **EDITORIAL_SQL,
 }

@@ -127,6 +127,19 @@ ALL_ARRIVALS = f"""{OFFERED}, arrivals AS (
   WHERE nth = 1)"""
 
 
+_FIRST = "row_number() OVER (PARTITION BY link ORDER BY source_ordinal, entry_ordinal)"
+_PLACE = "row_number() OVER (ORDER BY source_ordinal, entry_ordinal)"
+#: The even entries first, then whatever link is new among all entries.
+TWO_BATCHES = f"""batch_1 AS (
+  SELECT *, 1 AS batch, {_PLACE} AS id FROM (
+    SELECT *, {_FIRST} AS nth FROM offered WHERE link <> '' AND entry_ordinal % 2 = 0) WHERE nth = 1),
+batch_2 AS (
+  SELECT *, 2 AS batch, (SELECT count(*) FROM batch_1) + {_PLACE} AS id FROM (
+    SELECT *, {_FIRST} AS nth FROM offered
+    WHERE link <> '' AND link NOT IN (SELECT link FROM batch_1)) WHERE nth = 1),
+batches AS (SELECT * FROM batch_1 UNION ALL SELECT * FROM batch_2)"""
+
+
 def inserted(start: str) -> str:
     """Article rows of the arrivals with their page text, numbered from ``start``."""
     main, feed = article_text("p.html"), html_to_text("a.html")

@@ -21,6 +21,7 @@ from newsloom.settings import Settings
 from newsloom.sources import catalogue, feeds, pages
 from newsloom.streaming.incremental import start_ingest
 from registry import inputs
+from registry.editorial import EDITORIAL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,6 +103,19 @@ def atom_files(spark, sf_dir):
     return _landed_result(feeds.read_atom(spark, _landed_as(spark, items, "entry")))
 
 
+@query("A02_rss_guid_links")
+def rss_guid_links(spark, sf_dir):
+    """The documents landed as RSS items that carry their link as a guid, some of them not permanent."""
+    rows = inputs.feed_entries(spark, sf_dir)
+    permanent = F.when(col("entry_ordinal") % 3 == 0, "false").when(col("entry_ordinal") % 3 == 1, "true")
+    items = rows.select(
+        "feed_url", "title", F.struct(col("link").alias("_VALUE"), permanent.alias("_isPermaLink")).alias("guid"),
+    )
+    return feeds.read_rss(spark, _landed_as(spark, items, "item")).select(
+        "feed_url", "link", entries.clean_title(col("title")).alias("title")
+    )
+
+
 def _entries(spark, sf_dir):
     return entries.entries_of_sources(
         inputs.feed_entries(spark, sf_dir), inputs.sources(spark, sf_dir)
@@ -423,7 +437,9 @@ def stage_counts(spark, sf_dir):
 def digest_document(spark, sf_dir):
     ranked = queues.ranked_candidates(inputs.articles(spark, sf_dir), C.DIGEST_SIZE)
     items = digest.digest_items(ranked).withColumn("digest_id", F.lit("2025-07-04"))
-    return digest.digest_documents(items, date=F.lit("July 04, 2025"), brand="Morning News")
+    return digest.digest_documents(
+        items, date=F.lit("July 04, 2025"), brand="Morning News"
+    ).drop("part")
 
 
 @query("A36_digest_fragments")
@@ -465,7 +481,7 @@ def attempt_waits(spark, sf_dir):
 @query("A39_classify")
 def classify(spark, sf_dir):
     """The whole relevance backlog through the offline term model."""
-    backlog = queues.relevance_backlog(inputs.articles(spark, sf_dir))
+    backlog = inputs.articles(spark, sf_dir).filter(queues.needs_relevance())
     return inference.classify(backlog, inference.term_model(inputs.RELEVANCE_TERMS))
 
 
@@ -523,3 +539,37 @@ def curation_run(spark, sf_dir):
         "id", "link", "title", "original_summary", "is_ai_relevant", "ai_filter_model_used",
         "llm_summary", "summarizer_model_used",
     )
+
+
+@query("A41_replayed_ingest")
+def replayed_ingest(spark, sf_dir):
+    """Two batches with decisions in between, then the first again: ids, decisions and marks stay."""
+    store = _new_store(spark)
+    rows, catalog = inputs.feed_entries(spark, sf_dir), inputs.sources(spark, sf_dir)
+    first = rows.filter(col("entry_ordinal") % 2 == 0)
+    store.add_entries(first, catalog, "b1")
+    yes = store.raw().select("link", F.lit(True).alias("is_ai_relevant"), F.lit("m").alias("model"))
+    store.record_relevance(yes, "r1")
+    store.mark_sent(store.raw().select(col("id").alias("article_id")), "d1", "d1")
+    store.add_entries(rows, catalog, "b2")
+    store.add_entries(first, catalog, "b1")
+    return store.articles().select(
+        "id", "link", "is_ai_relevant", col("sent_in_newsletter_at").isNotNull().alias("sent")
+    )
+
+
+@query("A42_second_run_same_key")
+def second_run_same_key(spark, sf_dir):
+    """Two runs under one key: what the first stored stays, the second adds the rest."""
+    store = _new_store(spark, Settings(top_n_summaries=0))
+    models = Models(relevance=inference.term_model(inputs.RELEVANCE_TERMS))
+    rows, catalog = inputs.feed_entries(spark, sf_dir), inputs.sources(spark, sf_dir)
+    run_curation(store, rows.filter(col("entry_ordinal") % 2 == 0), catalog, models, "2025-07-04")
+    run_curation(store, rows.filter(col("entry_ordinal") % 2 == 1), catalog, models, "2025-07-04")
+    return store.articles().select("id", "link", "title", "is_ai_relevant")
+
+
+# -- editorial ----------------------------------------------------------------------------
+
+for _name, _function in EDITORIAL.items():
+    query(_name)(_function)
