@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,8 +26,8 @@ def _literal_map(pairs: dict[str, str]) -> Column:
 
 
 def _named_entities() -> Column:
-    names = {name: chr(point) for name, point in name2codepoint.items()}
-    return _literal_map({**names, "apos": "'"})
+    """All names of HTML 5; a reference may lack its semicolon."""
+    return _literal_map({name.removesuffix(";"): value for name, value in html5.items()})
 
 
 def _windows_1252() -> Column:

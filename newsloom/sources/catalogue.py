@@ -54,12 +54,20 @@ def catalogue_frame(spark: SparkSession, items: list[dict]) -> DataFrame:
     ]
     rows = [
         (position, item["name"], item["url"], item.get("notes"), item.get("tags"),
-         None if item.get("weight") is None else float(item["weight"]), True)
+         _number(item.get("weight")), True)
         for position, item in enumerate(usable)
     ]
     return spark.createDataFrame(rows, schemas.SOURCES)
 
 
+def _number(value: object) -> float | None:
+    """A weight that is no number counts as missing; it does not fail the load."""
+    try:
+        return float(value)
+    except (TypeError, ValueError):
+        return None
+
+
 def load_sources(spark: SparkSession, path: str | Path) -> DataFrame:
     return catalogue_frame(spark, read_catalogue(path))
 

@@ -9,28 +9,40 @@ from newsloom.functions.text import html_to_text, let
 
 _NOT_CONTENT = "|".join(
     rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>"
-    for tag in ("script", "style", "template", "head", "nav", "aside", "footer", "form")
+    for tag in ("script", "style", "template", "head", "nav", "aside", "footer")
 )
-_AD_BLOCK = r"""<div\s[^>]*class\s*=\s*["']?(?:[^"'>]*\s)?(?:ad|ads|advert|advertisement|sponsored)(?:\s[^"'>]*)?["']?[^>]*>.*?</div\s*>"""
+_AD_OPEN = r"""<div\s[^>]*class\s*=\s*["']?(?:[^"'>]*\s)?(?:ad|ads|advert|advertisement|sponsored)(?:\s[^"'>]*)?["']?[^>]*>"""
+
+
+def _inside_div(depth: int) -> str:
+    """What may stand in a div whose own divs are nested up to ``depth`` deep."""
+    plain = r"[^<]*+(?:<(?!/?div\b)[^<]*+)*+"
+    if depth == 0:
+        return plain
+    return rf"{plain}(?:<div\b[^>]*+>{_inside_div(depth - 1)}</div\s*>{plain})*+"
+
+
+_AD_BLOCK = rf"{_AD_OPEN}{_inside_div(4)}</div\s*>"
 _NOISE = rf"(?is)<!--.*?-->|{_NOT_CONTENT}|{_AD_BLOCK}"
 _ARTICLE = r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>"
 _BLOCK_EDGE = r"(?i)</?(?:body|main|section|div|td)(?:\s[^>]*)?>"
 
 
 def article_text(html: Column) -> Column:
-    """Main text of a page: its article element, else its longest block; "" when there is none."""
+    """Main text of a page: its longest article element, else its longest block; "" when there is none."""
     content = F.regexp_replace(F.coalesce(html, F.lit("")), _NOISE, " ")
 
-    def longest_block(content: Column) -> Column:
+    def longest(parts: Column) -> Column:
         return F.aggregate(
-            F.transform(F.split(content, _BLOCK_EDGE), html_to_text), F.lit(""),
-            lambda best, block: F.when(F.length(block) > F.length(best), block).otherwise(best),
+            F.transform(parts, html_to_text), F.lit(""),
+            lambda best, text: F.when(F.length(text) > F.length(best), text).otherwise(best),
         )
 
     def main_text(content: Column) -> Column:
-        marked = html_to_text(F.regexp_extract(content, _ARTICLE, 1))
+        marked = longest(F.regexp_extract_all(content, F.lit(_ARTICLE), F.lit(1)))
         return let(
-            marked, lambda text: F.when(text != "", text).otherwise(longest_block(content))
+            marked,
+            lambda text: F.when(text != "", text).otherwise(longest(F.split(content, _BLOCK_EDGE))),
         )
 
     return let(content, main_text)
@@ -50,8 +62,10 @@ def attach_page_text(
     is then keyed by (url, page_id), which spreads the copies of one url, and is
     cut to the wanted pages by a semi join first: for a small batch that is a
     broadcast filter inside the scan, for a large one the left join reuses its
-    partitioning, so html moves at most once. ``links`` may name the links of
-    ``articles`` when they are at hand more cheaply.
+    partitioning, so html moves at most once. A page is read once, before the join,
+    however many articles have its url. Articles without a link, which would all share
+    one key, stay out of the joins. ``links`` may name the links of ``articles`` when they
+    are at hand more cheaply.
     """
     links = articles.select("link") if links is None else links
     newest = pages.groupBy(F.col("url").alias("link")).agg(F.max("page_id").alias("page_id"))
@@ -60,9 +74,12 @@ def attach_page_text(
     html = pages.select(F.col("url").alias("link"), "page_id", "html").join(
         wanted, key, "left_semi"
     )
-    return (
-        articles.join(wanted, "link", "left")
-        .join(html, key, "left")
-        .withColumn("main_text", article_text(F.col("html")))
-        .drop("html", "page_id")
+    texts = html.select(*key, article_text(F.col("html")).alias("main_text"))
+    linked = (
+        articles.filter("link IS NOT NULL").join(wanted, "link", "left")
+        .join(texts, key, "left")
+        .withColumn("main_text", F.coalesce("main_text", F.lit("")))
+        .drop("page_id")
     )
+    without = articles.filter("link IS NULL").withColumn("main_text", F.lit(""))
+    return linked.unionByName(without)
