@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers
 
-from newsloom.llm.common import each_text, file_system, scratch, words_of
+from newsloom.llm.common import each_text, file_system, landed, scratch, words_of
 from newsloom.llm.pieces import Merges, assemble, blocks, cut, distinct, merges, parts_of, spread
 
 #: Words in the automaton at most, and the counted words they are taken from.
@@ -229,16 +229,37 @@ def word_counts(text: Column, docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(words_of(F.lower(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
+def frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+    """At most ``most`` words with the largest counts, as (word, n).
+
+    Counts are grouped by their leading bits into some hundred bins, and only the words
+    above the bin that would exceed ``most`` leave the tasks.
+    """
+    drop = F.greatest(F.length(F.bin("n")) - 6, F.lit(0))
+    floor = F.call_function("shiftleft", F.call_function("shiftright", F.col("n"), drop), drop)
+    bins = counts.groupBy(floor.alias("floor")).agg(F.count("*").alias("words")).collect()
+    held, lowest = 0, None
+    for row in sorted(bins, reverse=True):
+        held += row["words"]
+        if held > most:
+            break
+        lowest = row["floor"]
+    if lowest is None:
+        return []
+    return sorted((r["word"], r["n"]) for r in counts.where(F.col("n") >= lowest).collect())
+
+
 def compile_lexicon(docs: DataFrame, path: str, text: str = "text", size: int = LEXICON) -> str:
     """Writes the lexicon of the documents to the shared folder, hands it to the executors and returns its name."""
     spark = docs.sparkSession
-    top = word_counts(F.col(text), docs).where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(COUNTED).collect()
+    counts = word_counts(F.col(text), docs).where((F.length("word") <= LONGEST) & (F.col("n") > 1))
+    top = frequent(landed(counts, "words"), COUNTED)
     weight: dict[bytes, int] = {}
-    texts = [normal(r["word"], path) for r in top]
+    texts = [normal(word, path) for word, _ in top]
     data, start, end, owner = cut(texts, words_only=True)
     for s, e, i in zip(start.tolist(), end.tolist(), owner.tolist(), strict=True):
         piece = data[s:e].tobytes()
-        weight[piece] = weight.get(piece, 0) + top[i]["n"]
+        weight[piece] = weight.get(piece, 0) + top[i][1]
     chosen = sorted(weight, key=lambda w: (-weight[w], w))[:size]
     name = f"lexicon-{uuid.uuid4().hex}"
     uri = f"{scratch(spark, 'lexicon')}/{name}"

@@ -138,3 +138,10 @@ def test_packing_holds_all_tokens(odd_docs, no_docs, texts_of):
         assert sorted(r["batch"] * room + r["slot"] for r in some) == list(range(len(some)))
     assert packing.packed(no_docs).count() == 0
     assert packing.packed(odd_docs, length=F.lit(5)).count() == odd_docs.count()
+
+
+def test_frequent_words_stay_bounded(spark):
+    counts = spark.createDataFrame([(f"w{i}", 1000 // (i + 1)) for i in range(500)], "word string, n long")
+    found = lexicon.frequent(counts, 40)
+    assert 20 < len(found) <= 40 and min(n for _, n in found) > max(1000 // (i + 1) for i in range(500) if f"w{i}" not in dict(found))
+    assert lexicon.frequent(counts.where("false"), 40) == []
