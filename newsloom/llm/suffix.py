@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import landed
+from newsloom.llm.common import landed, small
 from newsloom.llm.pieces import span_hashes, spread
 
 LENGTH, GRAM = 400, 64
@@ -48,6 +48,8 @@ LENGTH, GRAM = 400, 64
 BLOCK_BYTES = 1 << 21
 SHARD_BYTES = 1 << 19
 OWNER_TEXTS = 2048
+#: Runs of one owner that a task may get by its key.
+HOT_RUNS = 1000
 STEPS = (64, 8, 1)
 RUN = "owner long, shift int, starts int, place int"
 PIECE = "grp binary, owner long, digest binary, shift int, starts int, place int, text binary, n long"
@@ -365,13 +367,23 @@ def repeated_ranges(pieces: DataFrame, length: int, owner_texts: int, shard_byte
     return out
 
 
+def of_frequent_owners(every: DataFrame) -> DataFrame:
+    """The runs whose owner occurs twice or more.
+
+    Owners with more than ``HOT_RUNS`` runs, of which there are few, are told apart
+    first, so that no task gets all runs of one.
+    """
+    often = landed(every.groupBy("owner").agg(F.count("*").alias("n")).where("n > 1"), "owners")
+    hot = small(often.where(F.col("n") > HOT_RUNS).select("owner"), 16)
+    rest = often.where(F.col("n") <= HOT_RUNS).select("owner")
+    return every.join(hot, "owner", "left_semi").unionByName(every.join(hot, "owner", "left_anti").join(rest, "owner", "left_semi"))
+
+
 def removals(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text",
              owner_texts: int = OWNER_TEXTS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, h, spans): the ranges of starts to remove in each document that has any; h is the hash of its text."""
     every = landed(all_runs(docs, length, doc_id, text), "runs")
-    often = every.groupBy("owner").agg(F.count("*").alias("n")).where("n > 1").select("owner")
-    # How often a row is repeated counts as so many occurrences of each of its runs.
-    found = every.join(often, "owner", "left_semi")
+    found = of_frequent_owners(every)
     # zstd folds the overlaps of neighbouring run texts.
     texts = landed(run_texts(docs, found, length, doc_id, text), "run-texts", "zstd")
     pieces = texts.groupBy("owner", "digest").agg(F.first("starts").alias("starts"), F.first("place").alias("place"),
