@@ -81,6 +81,7 @@ def index(rows: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, DataFra
     loads = rows.groupBy("h").agg(F.count("*").alias("n"))
     repeated = landed(loads.where("n > 1").select("h"), "repeated")
     slots, depth = directory(repeated, capacity)
+    repeated = small(repeated, 16)
     slots = landed(slots, "directory")
     candidates = rows.join(repeated, "h", "left_semi").select("h", "norm", "points", "doc_id")
     # ~doc_id reverses the order of ids, so that one maximum finds the row that stays.
