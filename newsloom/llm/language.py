@@ -6,7 +6,8 @@ one to ``ORDER`` letters of the lower-cased text, with word bounds, as relative
 frequencies over the whole text. A machine's margin is then a mean of weights over the
 text's n-grams, so a text of any length is scored in one pass without keeping counts.
 
-Training uses a bounded sample, at most ``SAMPLE`` texts of a language, chosen by the hash
+Training uses a bounded sample, about ``SAMPLE`` texts of a language (fewer if all would
+exceed ``SAMPLE_TOTAL``), chosen by the hash
 of the text among all rows whose ``learn`` flag is set and whose language is known. Texts
 are sampled whole. The machines (squared hinge loss, L2 penalty) are fitted on the driver:
 ``SAMPLE`` x languages x ``FEATURES`` numbers. Families are those of FAMILIES; a language
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from newsloom.llm.common import each_text
 from newsloom.llm.pieces import LETTER, blocks, classes
 
-SAMPLE = 300
+#: Sampled texts of a language, and of all languages together.
+SAMPLE, SAMPLE_TOTAL = 300, 6_000
 FEATURES = 1 << 12
 ORDER = 4
 ROUNDS = 300
@@ -168,9 +170,11 @@ def sample(docs: DataFrame, learn: Column, text: str, lang: str, size: int) -> D
     rows = docs.where(learn).select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     rows = rows.withColumn("h", F.xxhash64("text", F.lit(7)))
     counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
-    share = {r["lang"]: min(1.0, 1.2 * size / max(r["n"], 1)) for r in counts.collect()}
-    if not share:
+    found = counts.collect()  # a row for each language
+    if not found:
         return rows.select("lang", "text")
+    size = min(size, max(1, SAMPLE_TOTAL // len(found)))
+    share = {r["lang"]: min(1.0, 1.2 * size / max(r["n"], 1)) for r in found}
     limit = F.coalesce(F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(int(v * (1 << 30))))])[F.col("lang")], F.lit(0))
     return rows.where(F.pmod("h", F.lit(1 << 30)) < limit).dropDuplicates(["lang", "h"]).select("lang", "text")
 
