@@ -55,6 +55,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def each_text(docs: DataFrame, doc_id: str, text: str, work: Callable[[list[str]], dict], schema: str) -> DataFrame:
     """The doc_id of every row with the columns that ``work`` makes of the texts of a batch; null counts as empty."""
     kind = docs.schema[doc_id].dataType.simpleString()

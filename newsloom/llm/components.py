@@ -2,28 +2,75 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import landed
+from newsloom.llm.common import landed, small
+
+#: Rows of a written table that share a file at least.
+FILE_ROWS = 200_000
+#: Nodes a task keeps in memory while it folds its links.
+FOLDED = 500_000
+
+
+def folded(links: DataFrame) -> DataFrame:
+    """Links of the same components, at most one for each node and task."""
+    kind = links.schema["a"].dataType.simpleString()
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict = {}
+
+        def find(x):  # noqa: ANN001, ANN202
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+            if len(root) > FOLDED:
+                yield stars(root, find, both)
+                root.clear()
+        yield stars(root, find, both)
+
+    def stars(root: dict, find: Callable, schema: pa.Schema) -> pa.RecordBatch:
+        pairs = [(r, x) for x in list(root) if (r := find(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], schema.field("a").type) for k in (0, 1)], ["a", "b"])
+
+    node = pa.int64() if kind == "bigint" else pa.binary()
+    both = pa.schema([("a", node), ("b", node)])
+    return links.select("a", "b").mapInArrow(of_batches, f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable from each node that has a link.
 
-    ``links`` has columns a, b. In each round a node takes the smallest label around it
-    and then the label of that label, so long chains shorten by halves. Minima are
-    combined before the shuffle, and every round is written, so a node with very many
-    links costs one row for each task and a lost executor costs one round.
+    ``links`` has columns a, b of long or binary. Each task first replaces its own links
+    by those from each node to the smallest it knows, at most ``FOLDED`` nodes at a time.
+    Then, in rounds, a node takes the smallest label around it and after it the label of
+    that label, so long chains shorten by halves. Minima are combined before the shuffle,
+    and every round is written, so a node with very many links costs one row for each
+    task and a lost executor costs one round. Labels are broadcast while they are few.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = landed(both.where("a != b").distinct(), "links")
-    labels = landed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), "labels")
+    # Written first: what makes the links may hold Python workers of its own.
+    stars = folded(landed(links.select("a", "b"), "links"))
+    both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = landed(folded(both.where("a < b").distinct()), "links")
+    files = both.count() // FILE_ROWS + 1
+    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
+    labels = landed(labels.coalesce(files), "labels")
     while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        nearer = labels.join(around.withColumnRenamed("a", "node"), "node").select("node", "root", F.least("root", "near").alias("near"))
-        jump = labels.select(F.col("node").alias("near"), F.col("root").alias("far"))
-        after = landed(nearer.join(jump, "near").select("node", F.least("near", "far").alias("next"), "root"), "labels")
+        known = small(labels, 64)
+        around = both.join(known.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
+        nearer = around.withColumnRenamed("a", "node").join(known, "node").select("node", "root", F.least("root", "near").alias("near"))
+        jump = known.select(F.col("node").alias("near"), F.col("root").alias("far"))
+        after = landed(nearer.join(jump, "near").select("node", F.least("near", "far").alias("next"), "root").coalesce(files), "labels")
         done = after.where(F.col("next") != F.col("root")).isEmpty()
         labels = after.select("node", F.col("next").alias("root"))
         if done:

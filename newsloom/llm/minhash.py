@@ -37,15 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import landed
+from newsloom.llm.common import landed, slices, small
 from newsloom.llm.components import components
 from newsloom.llm.pieces import blocks, span_hashes
 
 PLACES, BAND = 128, 4
+#: Characters of text whose shingles are in a worker's memory at once, with PLACES bytes each.
+BLOCK = 1 << 19
 #: Percent of the union that two linked sets share.
 PERCENT = 80
 GROUP_CLASSES, GROUP_SHINGLES = 1000, 1 << 21
-ROUNDS = 6
+ROUNDS = 2
 #: Parts a large group is dealt into.
 SALTS = 64
 
@@ -145,9 +147,9 @@ def sketches(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(words).alias("h"), words.alias("text"))
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            for first, last in blocks(texts):
+            for first, last in blocks(texts, BLOCK):
                 sets = shingle_sets(texts[first:last], width)
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_pydict({
@@ -198,11 +200,12 @@ def group_links(names: list[bytes], sets: list[np.ndarray], percent: int, apart:
 
 
 def candidate_groups(classes: DataFrame) -> DataFrame:
-    """(digest, grp) of the classes that share a bucket with another."""
-    buckets = classes.select("digest", F.explode("buckets").alias("bucket"))
-    hubs = buckets.groupBy("bucket").agg(F.min("digest").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    links = buckets.join(hubs, "bucket").where(F.col("digest") != F.col("hub")).select(F.col("hub").alias("a"), F.col("digest").alias("b"))
-    return components(links).select(F.col("node").alias("digest"), F.col("root").alias("grp"))
+    """(c, grp) of the classes that share a bucket with another; c stands for the class in this graph only."""
+    buckets = classes.select("c", F.explode("buckets").alias("bucket"))
+    hubs = buckets.groupBy("bucket").agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last")
+    hubs = small(landed(hubs.select("bucket", "hub"), "hubs"), 16)
+    links = buckets.join(hubs, "bucket").where("c != hub").select(F.col("hub").alias("a"), F.col("c").alias("b"))
+    return components(links).select(F.col("node").alias("c"), F.col("root").alias("grp"))
 
 
 LINK = "a binary, b binary"
@@ -220,7 +223,7 @@ def small_links(members: DataFrame, percent: int) -> DataFrame:
 
 def pivoted(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links of large groups with their pivots, and what is left of these groups."""
-    pivots = members.groupBy("grp").agg(F.min_by(F.struct("digest", "items"), F.struct(-F.col("n"), "digest")).alias("p"))
+    pivots = members.groupBy("grp").agg(F.min_by(F.struct("digest", "items"), F.struct(F.xxhash64("digest"), "digest")).alias("p"))
     salted = members.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)))
     copies = pivots.select("grp", F.col("p.digest").alias("pivot"), F.col("p.items").alias("pivot_items"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     pairs = salted.join(copies, ["grp", "salt"]).where("digest != pivot")
@@ -236,7 +239,7 @@ def pivoted(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_pydict({**kept, "linked": pa.array(linked, pa.bool_()), "far": pa.array(far, pa.float64())})
 
     columns = pairs.select("grp", "digest", "n", "items", "pivot", "pivot_items")
-    seen = landed(columns.mapInArrow(measured, "grp binary, digest binary, n long, items binary, pivot binary, linked boolean, far double"), "pivoted")
+    seen = landed(columns.mapInArrow(measured, "grp long, digest binary, n long, items binary, pivot binary, linked boolean, far double"), "pivoted")
     links = seen.where("linked").select(F.col("pivot").alias("a"), F.col("digest").alias("b"))
     nearest = seen.where("not linked").groupBy("grp").agg((F.min("far") - (100 - percent) / 100 - 1e-9).alias("from"))
     left = seen.join(nearest, "grp").where("not linked or far >= from").select("grp", "digest", "n", "items")
@@ -269,9 +272,9 @@ def with_items(docs: DataFrame, chosen: DataFrame, width: int, doc_id: str, text
     found = rows.join(c, (F.col("h") == F.col("ch")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("grp", "digest", "text")
 
     def itemed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            for first, last in blocks(texts):
+            for first, last in blocks(texts, BLOCK):
                 part = batch.slice(first, last - first)
                 sets = shingle_sets(texts[first:last], width)
                 # A text that only shares the hash of the class's text is not the class.
@@ -280,28 +283,29 @@ def with_items(docs: DataFrame, chosen: DataFrame, width: int, doc_id: str, text
                     "grp": part.column("grp"), "digest": part.column("digest"), "n": pa.array([len(s) for s in sets], pa.int64()),
                     "items": pa.array([s.tobytes() for s in sets], pa.binary())}).filter(own)
 
-    return found.mapInArrow(itemed, "grp binary, digest binary, n long, items binary").dropDuplicates(["digest"])
+    return found.mapInArrow(itemed, "grp long, digest binary, n long, items binary").dropDuplicates(["digest"])
 
 
 def verified_links(docs: DataFrame, table: DataFrame, width: int, percent: int, doc_id: str, text: str,
                    group_classes: int = GROUP_CLASSES, group_shingles: int = GROUP_SHINGLES, rounds: int = ROUNDS) -> DataFrame:
     """(a, b): links between classes that connect all classes linked in truth."""
     chosen = table.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "h")).alias("one"), F.first("buckets").alias("buckets"))
-    chosen = landed(chosen, "classes")
-    groups = candidate_groups(chosen)
-    wanted = chosen.join(groups, "digest").select(F.col("one.doc_id"), F.col("one.h"), "digest", "grp")
-    members = landed(with_items(docs, wanted, width, doc_id, text), "members")
+    chosen = landed(chosen.withColumn("c", F.xxhash64("digest")), "classes")
+    groups = small(candidate_groups(chosen), 16)
+    wanted = landed(chosen.drop("buckets").join(groups, "c").select(F.col("one.doc_id"), F.col("one.h"), "digest", "grp"), "wanted")
+    members = landed(with_items(docs, small(wanted, 64), width, doc_id, text), "members")
     links = None
     for k in range(rounds + 1):
         sizes = members.groupBy("grp").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
-        fits = (F.col("classes") <= group_classes) & (F.col("shingles") <= group_shingles)
-        sized = members.join(sizes.select("grp", fits.alias("fits")), "grp")
-        some = small_links(sized.where("fits"), percent)
+        over = (F.col("classes") > group_classes) | (F.col("shingles") > group_shingles)
+        # Groups that are too large hold at least so many classes or shingles each, so they are few.
+        large_groups = landed(sizes.where(over).select("grp").coalesce(1), "large")
+        marked = small(large_groups, 16)
+        some = small_links(members.join(marked, "grp", "left_anti"), percent)
         links = some if links is None else links.unionByName(some)
-        large = sized.where("not fits").drop("fits")
-        if k == 0:
-            if sizes.where(~fits).isEmpty():
-                return links
+        if large_groups.isEmpty():
+            return links
+        large = members.join(marked, "grp", "left_semi")
         if k == rounds:
             return links.unionByName(block_links(large, percent))
         found, left = pivoted(large, percent)
@@ -315,7 +319,7 @@ def verified_links(docs: DataFrame, table: DataFrame, width: int, percent: int,
 def grouped(docs: DataFrame, width: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", **bounds: int) -> DataFrame:
     """doc_id, h, n_shingles and component_id of every row."""
     table = landed(sketches(docs, width, doc_id, text), "sketches")
-    roots = components(verified_links(docs, table, width, percent, doc_id, text, **bounds))
+    roots = small(components(verified_links(docs, table, width, percent, doc_id, text, **bounds)), 64)
     found = table.select("doc_id", "h", "n", "digest").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     found = found.withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "digest")))
     names = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -334,8 +338,13 @@ def deduplicated(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", text:
     """One document of each component and all documents without shingles, with their own columns."""
     found = grouped(docs, width, doc_id=doc_id, text=text, **options)
     stays = found.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("one"))
+    # Only rows that repeat doc_id and text have to be told apart with their text at hand.
+    copies = found.groupBy("doc_id", "h").agg((F.count("*") > 1).alias("repeated")).where("repeated")
+    c = copies.withColumnsRenamed({"doc_id": "cd", "h": "ch"})
     stays = stays.select(F.col("one.doc_id").alias("d"), F.col("one.h").alias("sh"))
+    stays = stays.join(c, (F.col("sh") == F.col("ch")) & F.col("d").eqNullSafe(F.col("cd")), "left").select("d", "sh", "repeated")
     rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("d0"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h0"))
-    one = rows.join(stays, (F.col("h0") == F.col("sh")) & F.col("d0").eqNullSafe(F.col("d"))).dropDuplicates(["d0", "h0"])
+    chosen = rows.join(landed(stays, "stays"), (F.col("h0") == F.col("sh")) & F.col("d0").eqNullSafe(F.col("d")))
+    one = chosen.where("repeated is null").unionByName(chosen.where("repeated").dropDuplicates(["d0", "h0"]))
     empty = rows.where(F.coalesce(F.col(f"row.{text}").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) == F.lit(False))
     return one.select("row.*").unionByName(empty.select("row.*"))

@@ -126,11 +126,11 @@ def piece_starts(points: np.ndarray, firsts: np.ndarray, words_only: bool = Fals
     return marks.T.ravel()[:n]
 
 
-def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK characters together."""
+def blocks(texts: list[str], most: int = BLOCK) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` characters together."""
     start, size = 0, 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > BLOCK:
+        if size and size + len(text) > most:
             yield start, i
             start, size = i, 0
         size += len(text)
