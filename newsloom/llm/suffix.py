@@ -12,7 +12,8 @@ of occurrences, are dealt by owner to shards of ``SHARD_BYTES``.
 
 A shard sorts its suffixes by Larsson-Sadakane refinement: they are ordered by their first
 eight bytes, and then only groups that are not yet single are ordered again by the rank of
-the suffix behind the part already compared, which doubles it. Common prefixes follow
+the suffix behind the part already compared, which doubles it, until all are single. Common
+prefixes follow
 Kasai's rule, a suffix shares at least one byte less than the suffix before it in the
 text, for many stretches of the text side by side. Suffixes with ``LENGTH`` bytes in
 common are neighbours, and their occurrences add up. An owner whose texts exceed one shard
@@ -102,24 +103,28 @@ def byte_blocks(texts: list[str], length: int) -> Iterator[tuple[list[tuple[int,
 _BYTES = np.array([1 << 8 * k for k in range(8)], np.uint64)
 
 
-def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in the order of their first ``depth`` bytes at least, and the eight bytes at each position."""
+def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All suffixes in order, and the eight bytes at each position.
+
+    The order is whole, not up to some depth: only then may Kasai's rule carry a prefix over.
+    """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
     eight = np.zeros(n, np.uint64)
     for k in range(8):
         eight = eight << np.uint64(8) | padded[k:k + n]
-    order = np.argsort(eight, kind="stable")
-    keys = eight[order]
+    # From the end, so that of suffixes equal but for the padding the shorter is first; it is single.
+    order = n - 1 - np.argsort(eight[::-1], kind="stable")
+    keys, short = eight[order], order > n - 8
     head = np.ones(n, bool)
-    head[1:] = keys[1:] != keys[:-1]
+    head[1:] = (keys[1:] != keys[:-1]) | short[1:] | short[:-1]
     begin = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    rank = np.empty(n + depth, np.int64)
-    rank[order], rank[n:] = begin + 1, 0
+    rank = np.empty(n + 1, np.int64)
+    rank[order], rank[n] = begin + 1, 0
     single = head & np.append(head[1:], True)
     slots = np.flatnonzero(~single)
     done = 8
-    while done < depth and len(slots):
+    while len(slots):
         some = order[slots]
         keys = rank[some] << 32 | rank[np.minimum(some + done, n)]
         by = np.argsort(keys, kind="stable")
@@ -170,7 +175,7 @@ class Shard:
         data = np.frombuffer(b"".join(texts), np.uint8)
         size = np.array([len(t) for t in texts], np.int64)
         first = np.cumsum(size) - size
-        order, self.eight = suffix_array(data, length)
+        order, self.eight = suffix_array(data)
         shared = common_prefixes(order, self.eight, length)
         at = spread(first, starts)
         self.row = np.repeat(np.arange(len(texts)), starts)
