@@ -1,15 +1,19 @@
 """Language-model scores by cross-entropy difference (operator 6).
 
-Two n-gram models are counted over the same vocabulary, the 256 byte values, with the
-same order and smoothing: the target model over the documents that ``labels`` calls good,
-the background model over all documents. Tokens are UTF-8 bytes, and the model of order
-three is interpolated with those of order two and one and a uniform share. A document's
-loss under a model is its mean bits per token, its score the loss under the target model
-less that under the background model: the lower, the more it is like the target.
-
-Counts cover all tokens of all documents: every task sums its own and sends one row for
-each n-gram it met. There are 2 ** 24 different n-grams at most, whatever the corpus, so
-the table of losses has a bound and is broadcast; a task holds it as two arrays.
+Two n-gram models are counted over the same vocabulary with the same order and smoothing:
+the target model over the documents that ``labels`` calls good, the background model over
+all documents. Tokens are the ids of the byte-level BPE vocabulary at ``path``, or UTF-8
+bytes without one. The model of order three is interpolated with those of order two and
+one and a uniform share. A document's loss under a model is its mean bits per token, its
+score the loss under the target model less that under the background model: the lower,
+the more it is like the target.
+
+Counts cover all tokens of all documents, and there are as many different n-grams as the
+corpus has: counts and losses are tables, and nothing but two totals and the hot n-grams
+passes through the driver. The ``HOT`` most frequent n-grams at most, chosen by bins of
+their counts, are broadcast as arrays of 16 bytes an n-gram. A document's other n-grams,
+each with its number in it, are joined to the table of losses; none of them is frequent,
+so the join has no large key. Its sums from both come together by a number of the row.
 
 Null and empty texts have no tokens and null losses. A label may be repeated; a document
 is target if any of its labels is 1. Repeated rows are counted each and score alike.
@@ -19,108 +23,170 @@ table gives no rows.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import each_text, landed, small
+from newsloom.llm.common import landed, slices, small
+from newsloom.llm.pieces import encode, merges
 
 #: Weight of the lower order in each interpolation, in tokens.
 BACK = 8.0
-BLOCK_BYTES = 1 << 21
-
-
-def keys_of(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For blocks of texts: first and last text, the trigram that ends at each byte, the text of each."""
-    first, raw, size = 0, [], 0
-    for i, text in enumerate([*texts, None]):
-        if raw and (text is None or size > BLOCK_BYTES):
-            # Two zero bytes before each text are its start.
-            data = np.frombuffer(b"".join(b"\0\0" + r for r in raw), np.uint8).astype(np.uint32)
-            keys = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
-            counts = np.array([len(r) for r in raw])
-            inside = np.ones(len(keys), bool)
-            ends = np.cumsum(counts + 2)[:-1] - 2
-            inside[ends], inside[ends + 1] = False, False
-            yield first, i, keys[inside], np.repeat(np.arange(len(raw)), counts)
-            first, raw, size = i, [], 0
-        if text is not None:
-            raw.append(text.encode())
-            size += len(raw[-1])
-
-
-def ngram_counts(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(gram, target, background) over all documents; ``good`` has the doc_id of the target documents, each once."""
+#: Bits of a token in an n-gram; token 0 is the start of a text.
+WIDTH = 20
+MASK = (1 << WIDTH) - 1
+#: N-grams a worker holds for all documents; 16 bytes each.
+HOT = 1 << 20
+#: Tokens that are counted or scored at once.
+CHUNK = 1 << 21
+#: The bin of a count; a quarter of a power of two wide.
+BIN = "cast(floor(4 * log2(background)) as int)"
+
+
+def vocabulary(path: str | None) -> int:
+    """The number of different tokens."""
+    return 256 if path is None else 1 + max([*merges(path).vocab.values(), *merges(path).special.values()])
+
+
+def tokens(docs: DataFrame, good: DataFrame, path: str | None, doc_id: str, text: str) -> DataFrame:
+    """row, doc_id, good and the token ids of every row; ``good`` has the doc_id of the target documents, each once."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     marks = small(good.select(F.col("doc_id").alias("good_id")), 16)
-    rows = rows.join(marks, F.col("doc_id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull().alias("good"))
-
+    rows = rows.join(marks, F.col("doc_id") == F.col("good_id"), "left").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.col("good_id").isNotNull().alias("good"), "text")
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            if path is None:
+                raw = [t.encode() for t in texts]
+                ids, counts = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw])
+            else:
+                ids, counts = encode(texts, merges(path))
+            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            yield pa.RecordBatch.from_pydict({
+                **{k: batch.column(k) for k in ("row", "doc_id", "good")}, "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))})
+
+    return rows.mapInArrow(of_batches, f"row long, doc_id {kind}, good boolean, ids array<int>")
+
+
+def grams(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The n-gram that ends at each token and the token's row, in chunks; long texts have several."""
+    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(size)
+    flat = np.concatenate([np.zeros(2, np.int32), lists.flatten().to_numpy() + 1])
+    for a in range(0, len(flat) - 2, CHUNK):
+        b = min(a + CHUNK, len(flat) - 2)
+        at = np.arange(a, b)
+        owner = np.searchsorted(ends, at, side="right")
+        place = at - (ends - size)[owner]
+        before, last = flat[a + 1:b + 1] * (place > 0), flat[a:b] * (place > 1)
+        yield last.astype(np.int64) << 2 * WIDTH | before.astype(np.int64) << WIDTH | flat[a + 2:b + 2], owner
+
+
+def ngram_counts(texts: DataFrame) -> DataFrame:
+    """(gram, target, background) over all tokens of all texts."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[bool, np.ndarray] = {}
+        waiting: list[np.ndarray] = []
+
+        def summed() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
+            waiting.clear()
+            return pa.RecordBatch.from_pydict({"gram": keys >> 1, "good": pa.array((keys & 1).astype(bool)), "n": n.astype(np.int64)})
+
         for batch in batches:
-            texts, flags = batch.column("text").to_pylist(), batch.column("good").to_pylist()
-            for flag in (False, True):
-                for _, _, keys, _ in keys_of([t for t, f in zip(texts, flags, strict=True) if f == flag]):
-                    grams, n = np.unique(keys, return_counts=True)
-                    total.setdefault(flag, np.zeros(1 << 24, np.int64))[grams] += n
-        for flag, counts in total.items():
-            grams = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict({"gram": grams.astype(np.int32), "good": pa.array(np.full(len(grams), flag)), "n": counts[grams]})
-
-    sums = rows.mapInArrow(counted, "gram int, good boolean, n long").groupBy("gram")
+            good = batch.column("good").to_numpy(zero_copy_only=False).astype(np.int64)
+            for keys, owner in grams(batch.column("ids")):
+                waiting.append(keys << 1 | good[owner])
+                if sum(map(len, waiting)) > 2 * CHUNK:
+                    yield summed()
+        if waiting:
+            yield summed()
+
+    sums = texts.select("good", "ids").mapInArrow(counted, "gram long, good boolean, n long").groupBy("gram")
     return sums.agg(F.sum(F.when(F.col("good"), F.col("n")).otherwise(0)).alias("target"), F.sum("n").alias("background"))
 
 
-def bits(gram: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Loss in bits of the last token of each trigram, from the counts of all trigrams."""
-    last, pair = gram & 0xFF, gram & 0xFFFF
-    ones = np.bincount(last, weights=count, minlength=1 << 8)
-    p1 = (ones + BACK / 256) / (ones.sum() + BACK)
-    twos = np.bincount(pair, weights=count, minlength=1 << 16)
-    before = twos.reshape(256, 256).sum(axis=1)
-    p2 = (twos + BACK * np.tile(p1, 256)) / (np.repeat(before, 256) + BACK)
-    context = np.bincount(gram >> 8, weights=count, minlength=1 << 16)
-    return -np.log2((count + BACK * p2[pair]) / (context[gram >> 8] + BACK))
-
-
-def losses(counts: DataFrame) -> dict[str, bytes]:
-    """The n-grams of the corpus and their loss under both models, packed; 2 ** 24 at most."""
-    table = counts.orderBy("gram").toArrow()
-    gram = table.column("gram").to_numpy().astype(np.int64)
-    packed = {"gram": gram.astype(np.uint32)}
-    for name in ("target", "background"):
-        packed[name] = bits(gram, table.column(name).to_numpy().astype(np.float64)).astype(np.float32)
-    return {k: zlib.compress(v.tobytes(), 1) for k, v in packed.items()}
-
-
-def scored(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score of every row."""
-    counts = landed(ngram_counts(docs, good, doc_id, text), "ngrams")
-    shared = docs.sparkSession.sparkContext.broadcast(losses(counts))
-    tables: dict[str, np.ndarray] = {}
-
-    def of_texts(texts: list[str]) -> dict:
-        if not tables:
-            parts = {k: np.frombuffer(zlib.decompress(v), np.uint32 if k == "gram" else np.float32) for k, v in shared.value.items()}
-            for name in ("target", "background"):
-                tables[name] = np.zeros(1 << 24, np.float32)
-                tables[name][parts["gram"]] = parts[name]
-        n = np.zeros(len(texts), np.int64)
-        sums = {name: np.zeros(len(texts)) for name in tables}
-        for first, last, keys, owner in keys_of(texts):
-            n[first:last] = np.bincount(owner, minlength=last - first)
-            for name, table in tables.items():
-                sums[name][first:last] = np.bincount(owner, weights=table[keys], minlength=last - first)
-        means = {name: [s / k if k else None for s, k in zip(sums[name].tolist(), n.tolist(), strict=True)] for name in tables}
-        score = [None if t is None else t - b for t, b in zip(means["target"], means["background"], strict=True)]
-        kind = pa.float64()
-        return {"n_tokens": n, "target_loss": pa.array(means["target"], kind), "background_loss": pa.array(means["background"], kind), "score": pa.array(score, kind)}
-
-    return each_text(docs, doc_id, text, of_texts, "n_tokens long, target_loss double, background_loss double, score double")
+def losses(counts: DataFrame, size: int) -> DataFrame:
+    """gram, background, and the bits of its last token under both models, of each n-gram of ``counts``."""
+    models = ("target", "background")
+
+    def sums(table: DataFrame, key: Column, name: str, prefix: str) -> DataFrame:
+        return table.groupBy(key.alias(name)).agg(*[F.sum(m).alias(f"{prefix}_{m}") for m in models])
+
+    gram = F.col("gram")
+    pairs = landed(sums(counts, gram.bitwiseAND((1 << 2 * WIDTH) - 1), "pair", "pair"), "pairs")
+    named = pairs.withColumnsRenamed({f"pair_{m}": m for m in models})
+    ones = sums(named, F.col("pair").bitwiseAND(MASK), "one", "one")
+    first = sums(named, F.shiftright("pair", WIDTH), "first", "first")
+    total = named.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in models]).first()
+    pairs = pairs.join(small(ones, 24), F.col("one") == F.col("pair").bitwiseAND(MASK)).join(small(first, 24), F.col("first") == F.shiftright("pair", WIDTH))
+    p = {m: (F.col(f"one_{m}") + BACK / size) / (total[m] + BACK) for m in models}
+    pairs = pairs.select("pair", *[((F.col(f"pair_{m}") + BACK * p[m]) / (F.col(f"first_{m}") + BACK)).alias(f"p_{m}") for m in models])
+    context = sums(counts, F.shiftright("gram", WIDTH), "context", "context")
+    rows = counts.join(pairs, F.col("pair") == gram.bitwiseAND((1 << 2 * WIDTH) - 1)).join(context, F.col("context") == F.shiftright("gram", WIDTH))
+    return rows.select("gram", "background", *[
+        (-F.log2((F.col(m) + BACK * F.col(f"p_{m}")) / (F.col(f"context_{m}") + BACK))).cast("float").alias(f"{m}_bits") for m in models])
+
+
+def hot_bin(table: DataFrame, most: int) -> int:
+    """The lowest bin of counts so that it and those above have ``most`` n-grams at most."""
+    bins = sorted(((r["bin"], r["count"]) for r in table.groupBy(F.expr(BIN).alias("bin")).count().collect()), reverse=True)
+    lowest, held = bins[0][0] + 1 if bins else 0, 0
+    for number, many in bins:
+        held += many
+        if held > most:
+            break
+        lowest = number
+    return lowest
+
+
+def scored(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, hot: int = HOT) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score of every row; the vocabulary is at ``path`` on every worker."""
+    texts = landed(tokens(docs, good, path, doc_id, text), "tokens", "zstd")
+    table = landed(losses(landed(ngram_counts(texts), "ngrams"), vocabulary(path)), "losses")
+    lowest = hot_bin(table, hot)
+    often = table.where(F.expr(BIN) >= lowest).drop("background").toArrow().sort_by("gram")
+    shared = docs.sparkSession.sparkContext.broadcast({c: often.column(c).to_numpy() for c in often.column_names})
+    seldom = table.where(F.expr(BIN) < lowest).select(F.col("gram").alias("g"), "target_bits", "background_bits")
+    kind = docs.schema[doc_id].dataType.simpleString()
+    schema = f"row long, gram long, n long, own struct<doc_id: {kind}, n_tokens: long, target: double, background: double>"
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        own_type = None
+        for batch in batches:
+            row, lists = batch.column("row").to_numpy(), batch.column("ids")
+            sums = {m: np.zeros(len(row)) for m in ("target", "background")}
+            own_type = own_type or pa.struct([("doc_id", batch.column("doc_id").type), ("n_tokens", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
+            for keys, owner in grams(lists):
+                some, group = np.unique(keys, return_inverse=True)
+                at = np.searchsorted(held["gram"], some)
+                at[at == len(held["gram"])] = 0
+                known = held["gram"][at] == some if len(held["gram"]) else np.zeros(len(some), bool)
+                for m in sums:
+                    bits = np.zeros(len(some))
+                    bits[known] = held[f"{m}_bits"][at[known]]
+                    sums[m] += np.bincount(owner, weights=bits[group], minlength=len(row))
+                rest = ~known[group]
+                pair, n = np.unique(owner[rest] << 32 | group[rest], return_counts=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(row[pair >> 32]), pa.array(some[pair & 0xFFFFFFFF]), pa.array(n.astype(np.int64)), pa.nulls(len(pair), own_type)], ["row", "gram", "n", "own"])
+            own = pa.StructArray.from_arrays([
+                batch.column("doc_id"), lists.value_lengths().cast(pa.int64()), pa.array(sums["target"]), pa.array(sums["background"])], fields=list(own_type))
+            # No n-gram is negative: a row's own line meets none in the join, and no other row's line.
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(-1 - row), pa.array(np.zeros(len(row), np.int64)), own], ["row", "gram", "n", "own"])
+
+    lines = texts.select("row", "doc_id", "ids").mapInArrow(of_batches, schema).join(seldom, F.col("gram") == F.col("g"), "left")
+    total = {m: F.sum(F.coalesce(F.col(f"own.{m}"), F.col("n") * F.col(f"{m}_bits").cast("double"))) for m in ("target", "background")}
+    sums = lines.groupBy("row").agg(F.max("own.doc_id").alias("doc_id"), F.max("own.n_tokens").alias("n_tokens"), *[v.alias(m) for m, v in total.items()])
+    mean = {m: F.when(F.col("n_tokens") > 0, F.col(m) / F.col("n_tokens")) for m in total}
+    return sums.select("doc_id", "n_tokens", mean["target"].alias("target_loss"), mean["background"].alias("background_loss"),
+                       (mean["target"] - mean["background"]).alias("score"))
 
 
 def good_ids(labels: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = crossentropy.good_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return crossentropy.scored(documents(spark, sf_dir), good)
+    return crossentropy.scored(documents(spark, sf_dir), good, path=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
