@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.llm import exact, minhash, packing, quality, suffix
@@ -29,8 +30,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The batch and slot of every segment of every document."""
-    return packing.packed(docs)
+    """The batch and slot of every segment of every document, by its tokens."""
+    return packing.packed(docs, path=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

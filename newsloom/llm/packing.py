@@ -1,7 +1,9 @@
 """Packing into optimal length buckets (operator 7).
 
-A document's length is its number of tokens (by default words); one that is longer than
-``MAX_LENGTH`` is split into segments of that length, so nothing is cut off. The lengths
+A document's length is its number of tokens: those of the BPE vocabulary at ``path``, counted
+over the whole text, a given column, or without either its words. One that is longer than
+``MAX_LENGTH`` is split into segments of that length, so nothing is cut off; ``start`` is a
+segment's offset in tokens. The lengths
 of all segments make one histogram, which has ``MAX_LENGTH + 1`` bins at most and is the
 only thing the driver sees. Dynamic programming over it chooses the ``BUCKETS`` bucket
 boundaries with the least padding, where a segment is padded to its bucket's boundary.
@@ -21,7 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import landed, small, words_of
+from newsloom.llm.common import each_text, landed, small, words_of
+from newsloom.llm.transducer import count_tokens
 
 MAX_LENGTH, BUCKETS, BUDGET = 2048, 16, 32_768
 
@@ -64,8 +67,11 @@ def segments(docs: DataFrame, length: Column, doc_id: str, longest: int) -> Data
 
 
 def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: Column | None = None,
-           longest: int = MAX_LENGTH, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+           longest: int = MAX_LENGTH, buckets: int = BUCKETS, budget: int = BUDGET, path: str | None = None) -> DataFrame:
     """doc_id, segment, start, n_tokens, bucket (padded length), batch (number in the bucket), slot (place in the batch)."""
+    if path is not None:
+        docs = each_text(docs, doc_id, text, lambda texts: {"total": count_tokens(texts, path)[1]}, "total long")
+        doc_id, length = "doc_id", F.col("total")
     length = F.size(words_of(F.col(text))) if length is None else length
     parts = landed(segments(docs, length, doc_id, longest), "segments")
     histogram = parts.groupBy("n_tokens").count().collect()

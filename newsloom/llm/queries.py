@@ -40,7 +40,7 @@ def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(documents(spark, sf_dir))
+    return packing.packed(documents(spark, sf_dir), path=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
