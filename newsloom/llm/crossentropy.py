@@ -41,7 +41,7 @@ MASK = (1 << WIDTH) - 1
 #: N-grams a worker holds for all documents; 16 bytes each.
 HOT = 1 << 20
 #: Tokens that are counted or scored at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: The bin of a count; a quarter of a power of two wide.
 BIN = "cast(floor(4 * log2(background)) as int)"
 
@@ -98,7 +98,7 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
             waiting.clear()
             return pa.RecordBatch.from_pydict({"gram": keys >> 1, "good": pa.array((keys & 1).astype(bool)), "n": n.astype(np.int64)})
 
-        for batch in batches:
+        for batch in slices(batches):
             good = batch.column("good").to_numpy(zero_copy_only=False).astype(np.int64)
             for keys, owner in grams(batch.column("ids")):
                 waiting.append(keys << 1 | good[owner])
@@ -159,7 +159,7 @@ def scored(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str =
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         own_type = None
-        for batch in batches:
+        for batch in slices(batches):
             row, lists = batch.column("row").to_numpy(), batch.column("ids")
             sums = {m: np.zeros(len(row)) for m in ("target", "background")}
             own_type = own_type or pa.struct([("doc_id", batch.column("doc_id").type), ("n_tokens", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
