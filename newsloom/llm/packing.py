@@ -10,11 +10,11 @@ boundaries with the least padding, where a segment is padded to its bucket's bou
 Inside a bucket, batches hold as many segments as a budget of padded tokens allows.
 
 Segments are numbered in a bucket without bringing it to one task: they are dealt by
-range of (bucket, hash), numbered within each part, and each part adds the sizes of the
+range of (bucket, hash, number of the row), numbered within each part, and each part adds the sizes of the
 parts before it.
 
 Null, empty and blank texts make one segment of length zero. Repeated rows are packed
-each. Ties in the hash are ordered by doc_id and segment. An empty table gives no rows.
+each, and ties in the hash are ordered by the number of the row. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -73,15 +73,15 @@ def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         docs = each_text(docs, doc_id, text, lambda texts: {"total": count_tokens(texts, path)[1]}, "total long")
         doc_id, length = "doc_id", F.col("total")
     length = F.size(words_of(F.col(text))) if length is None else length
-    parts = landed(segments(docs, length, doc_id, longest), "segments")
+    parts = landed(segments(docs, length, doc_id, longest).withColumn("salt", F.monotonically_increasing_id()), "segments")
     histogram = parts.groupBy("n_tokens").count().collect()
     bounds = boundaries(np.array([r["n_tokens"] for r in histogram]), np.array([r["count"] for r in histogram]), buckets)
     if not bounds:
         bounds = [longest]
     bucket = F.element_at(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b >= F.col("n_tokens")), 1)
     keyed = parts.withColumn("bucket", bucket).withColumn("h", F.xxhash64("doc_id", "segment"))
-    dealt = landed(keyed.repartitionByRange("bucket", "h").withColumn("part", F.spark_partition_id()), "dealt")
-    within = Window.partitionBy("bucket", "part").orderBy("h", "doc_id", "segment")
+    dealt = landed(keyed.repartitionByRange("bucket", "h", "salt").withColumn("part", F.spark_partition_id()), "dealt")
+    within = Window.partitionBy("bucket", "part").orderBy("h", "salt")
     sizes = dealt.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("bucket").alias("b"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

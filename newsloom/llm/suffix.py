@@ -267,7 +267,8 @@ def all_runs(docs: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
 
 def run_texts(docs: DataFrame, found: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
     """The runs of ``found`` with their texts and the digests of these."""
-    lists = found.groupBy("doc_id", "h").agg(F.collect_list(F.struct("owner", "shift", "starts", "place")).alias("runs"))
+    # Runs of equal rows come together once, combined before they are dealt; each is one occurrence for each row.
+    lists = found.groupBy("doc_id", "h").agg(F.collect_set(F.struct("owner", "shift", "starts", "place")).alias("runs"))
     lists = lists.withColumnsRenamed({"doc_id": "d", "h": "dh"})
     rows = by_key(docs, doc_id, text).join(lists, (F.col("h") == F.col("dh")) & F.col("doc_id").eqNullSafe(F.col("d")))
 
@@ -278,9 +279,8 @@ def run_texts(docs: DataFrame, found: DataFrame, length: int, doc_id: str, text:
                 out: dict[str, list] = {k: [] for k in ("doc_id", "h", "owner", "digest", "shift", "starts", "place", "text")}
                 for row in some.to_pylist():
                     data = row["text"].encode()
-                    # Runs of equal rows were collected together; each is one occurrence for each row.
-                    for run in {tuple(r.values()) for r in row["runs"]}:
-                        owner, shift, starts, place = run
+                    for run in row["runs"]:
+                        owner, shift, starts, place = run.values()
                         piece = data[shift:shift + starts - 1 + length]
                         mark = hashlib.blake2b(piece + place.to_bytes(4, "little"), digest_size=16).digest()
                         for key, value in zip(out, (row["doc_id"], row["h"], owner, mark, shift, starts, place, piece), strict=True):
