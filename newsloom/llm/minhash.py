@@ -44,6 +44,8 @@ from newsloom.llm.pieces import blocks, span_hashes
 PLACES, BAND = 128, 4
 #: Characters of text whose shingles are in a worker's memory at once, with PLACES bytes each.
 BLOCK = 1 << 19
+#: Shingles that draw at once; a long text has more.
+ITEMS = 1 << 17
 #: Percent of the union that two linked sets share.
 PERCENT = 80
 GROUP_CLASSES, GROUP_SHINGLES = 1000, 1 << 21
@@ -103,11 +105,18 @@ def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
 
 def signatures(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
     """The SuperMinHash of each set, one row each."""
-    size = np.array([len(s) for s in sets], np.int64)
+    ends = np.cumsum([len(s) for s in sets], dtype=np.int64)
     table = np.full((len(sets), places), np.iinfo(np.uint64).max, np.uint64)
-    flat = table.ravel()
     items = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(sets)), size)
+    for a in range(0, len(items), ITEMS):
+        some = items[a:a + ITEMS]
+        offered(table, some, np.searchsorted(ends, np.arange(a, a + len(some)), side="right"))
+    return table
+
+
+def offered(table: np.ndarray, items: np.ndarray, owner: np.ndarray) -> None:
+    """Lowers the places of the signatures in ``table`` by the offers of some shingles of their sets."""
+    places, flat = table.shape[1], table.ravel()
     order = np.tile(np.arange(places, dtype=np.uint8), (len(items), 1))
     for j in range(places):
         if not len(items):
@@ -122,11 +131,10 @@ def signatures(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
         np.minimum.at(flat, owner * places + place, offer)
         # A text goes on while one of its places could still take an offer of the next step.
         open_texts = np.unique(owner)
-        more = np.zeros(len(sets), bool)
+        more = np.zeros(len(table), bool)
         more[open_texts] = table[open_texts].max(axis=1) >> np.uint64(56) > j
         stay = more[owner]
         items, owner, order = items[stay], owner[stay], order[stay]
-    return table
 
 
 def bands(table: np.ndarray, band: int = BAND) -> np.ndarray:
