@@ -62,6 +62,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def small_batches(spark: SparkSession, most: int) -> None:
+    """From now on the session's Arrow batches have at most so many bytes (or one row); a smaller limit stays.
+
+    Spark's own limit is 64 MB a batch, on both sides of every Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().removesuffix("b")
+    if not now.isdigit() or int(now) > most:
+        spark.conf.set(key, str(most))
+
+
 def each_text(docs: DataFrame, doc_id: str, text: str, work: Callable[[list[str]], dict], schema: str) -> DataFrame:
     """The doc_id of every row with the columns that ``work`` makes of the texts of a batch; null counts as empty."""
     kind = docs.schema[doc_id].dataType.simpleString()

@@ -11,10 +11,14 @@ the more it is like the target.
 Counts cover all tokens of all documents, and there are as many different n-grams as the
 corpus has: counts and losses are tables, and nothing but two totals and the hot n-grams
 passes through the driver. The ``HOT`` most frequent n-grams at most, chosen by bins of
-their counts, are broadcast as arrays of 16 bytes an n-gram. A document's other n-grams,
+their counts, are written as one table of 16 bytes an n-gram, which every worker of a machine
+maps from the same file. A document's other n-grams,
 each with its number in it, are joined to the table of losses; none of them is frequent,
 so the join has no large key. Its sums from both come together by a number of the row.
 
+A worker holds ``BATCH_BYTES`` of texts or ids, ``COUNTED`` n-grams that wait to be
+counted and some arrays of ``CHUNK`` tokens, whatever the length of a text.
+
 Null and empty texts have no tokens and null losses. A label may be repeated; a document
 is target if any of its labels is 1. Repeated rows are counted each and score alike.
 Without labels the target model is its smoothing and every score still exists. An empty
@@ -23,14 +27,18 @@ table gives no rows.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import landed, slices, small
+from newsloom.llm.common import file_system, landed, scratch, slices, small, small_batches
 from newsloom.llm.pieces import encode, merges
 
 #: Weight of the lower order in each interpolation, in tokens.
@@ -38,10 +46,14 @@ BACK = 8.0
 #: Bits of a token in an n-gram; token 0 is the start of a text.
 WIDTH = 20
 MASK = (1 << WIDTH) - 1
-#: N-grams a worker holds for all documents; 16 bytes each.
+#: N-grams in the mapped table; 16 bytes each.
 HOT = 1 << 20
-#: Tokens that are counted or scored at once.
-CHUNK = 1 << 19
+#: Tokens that are scored at once.
+CHUNK = 1 << 16
+#: N-grams that wait in a worker to be counted at once.
+COUNTED = 1 << 20
+BATCH_BYTES = 4 << 20
+MODELS = ("target", "background")
 #: The bin of a count; a quarter of a power of two wide.
 BIN = "cast(floor(4 * log2(background)) as int)"
 
@@ -92,6 +104,7 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
     """(gram, target, background) over all tokens of all texts."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
+        held = 0
 
         def summed() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate(waiting), return_counts=True)
@@ -102,8 +115,10 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
             good = batch.column("good").to_numpy(zero_copy_only=False).astype(np.int64)
             for keys, owner in grams(batch.column("ids")):
                 waiting.append(keys << 1 | good[owner])
-                if sum(map(len, waiting)) > 2 * CHUNK:
+                held += len(keys)
+                if held > COUNTED:
                     yield summed()
+                    held = 0
         if waiting:
             yield summed()
 
@@ -113,24 +128,22 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
 
 def losses(counts: DataFrame, size: int) -> DataFrame:
     """gram, background, and the bits of its last token under both models, of each n-gram of ``counts``."""
-    models = ("target", "background")
-
     def sums(table: DataFrame, key: Column, name: str, prefix: str) -> DataFrame:
-        return table.groupBy(key.alias(name)).agg(*[F.sum(m).alias(f"{prefix}_{m}") for m in models])
+        return table.groupBy(key.alias(name)).agg(*[F.sum(m).alias(f"{prefix}_{m}") for m in MODELS])
 
     gram = F.col("gram")
     pairs = landed(sums(counts, gram.bitwiseAND((1 << 2 * WIDTH) - 1), "pair", "pair"), "pairs")
-    named = pairs.withColumnsRenamed({f"pair_{m}": m for m in models})
+    named = pairs.withColumnsRenamed({f"pair_{m}": m for m in MODELS})
     ones = sums(named, F.col("pair").bitwiseAND(MASK), "one", "one")
     first = sums(named, F.shiftright("pair", WIDTH), "first", "first")
-    total = named.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in models]).first()
+    total = named.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MODELS]).first()
     pairs = pairs.join(small(ones, 24), F.col("one") == F.col("pair").bitwiseAND(MASK)).join(small(first, 24), F.col("first") == F.shiftright("pair", WIDTH))
-    p = {m: (F.col(f"one_{m}") + BACK / size) / (total[m] + BACK) for m in models}
-    pairs = pairs.select("pair", *[((F.col(f"pair_{m}") + BACK * p[m]) / (F.col(f"first_{m}") + BACK)).alias(f"p_{m}") for m in models])
+    p = {m: (F.col(f"one_{m}") + BACK / size) / (total[m] + BACK) for m in MODELS}
+    pairs = pairs.select("pair", *[((F.col(f"pair_{m}") + BACK * p[m]) / (F.col(f"first_{m}") + BACK)).alias(f"p_{m}") for m in MODELS])
     context = sums(counts, F.shiftright("gram", WIDTH), "context", "context")
     rows = counts.join(pairs, F.col("pair") == gram.bitwiseAND((1 << 2 * WIDTH) - 1)).join(context, F.col("context") == F.shiftright("gram", WIDTH))
     return rows.select("gram", "background", *[
-        (-F.log2((F.col(m) + BACK * F.col(f"p_{m}")) / (F.col(f"context_{m}") + BACK))).cast("float").alias(f"{m}_bits") for m in models])
+        (-F.log2((F.col(m) + BACK * F.col(f"p_{m}")) / (F.col(f"context_{m}") + BACK))).cast("float").alias(f"{m}_bits") for m in MODELS])
 
 
 def hot_bin(table: DataFrame, most: int) -> int:
@@ -145,23 +158,48 @@ def hot_bin(table: DataFrame, most: int) -> int:
     return lowest
 
 
+def write_hot(table: DataFrame) -> str:
+    """Writes the losses of ``table`` by n-gram as one file, hands it to the executors and returns its name."""
+    spark = table.sparkSession
+    rows = table.toArrow().sort_by("gram")
+    columns = [rows.column("gram").to_numpy(), *[rows.column(f"{m}_bits").to_numpy() for m in MODELS]]
+    name = f"losses-{uuid.uuid4().hex}"
+    uri = f"{scratch(spark, 'hot')}/{name}"
+    files, place = file_system(uri)
+    files.create_dir(place.rsplit("/", 1)[0])
+    with files.open_output_stream(place) as out:
+        for column in columns:
+            out.write(column.tobytes())
+    spark.sparkContext.addFile(uri)
+    return name
+
+
+@lru_cache(maxsize=1)
+def hot_losses(name: str) -> dict[str, np.ndarray]:
+    """The mapped columns of ``write_hot``: n-grams in order and their bits under each model."""
+    path = SparkFiles.get(name)
+    n = os.path.getsize(path) // 16
+    data = np.memmap(path, np.uint8, "r") if n else np.zeros(0, np.uint8)
+    return {"gram": data[:8 * n].view(np.int64)} | {m: data[(8 + 4 * k) * n:(12 + 4 * k) * n].view(np.float32) for k, m in enumerate(MODELS)}
+
+
 def scored(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, hot: int = HOT) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of every row; the vocabulary is at ``path`` on every worker."""
+    small_batches(docs.sparkSession, BATCH_BYTES)
     texts = landed(tokens(docs, good, path, doc_id, text), "tokens", "zstd")
     table = landed(losses(landed(ngram_counts(texts), "ngrams"), vocabulary(path)), "losses")
     lowest = hot_bin(table, hot)
-    often = table.where(F.expr(BIN) >= lowest).drop("background").toArrow().sort_by("gram")
-    shared = docs.sparkSession.sparkContext.broadcast({c: often.column(c).to_numpy() for c in often.column_names})
+    name = write_hot(table.where(F.expr(BIN) >= lowest).drop("background"))
     seldom = table.where(F.expr(BIN) < lowest).select(F.col("gram").alias("g"), "target_bits", "background_bits")
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"row long, gram long, n long, own struct<doc_id: {kind}, n_tokens: long, target: double, background: double>"
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
+        held = hot_losses(name)
         own_type = None
         for batch in slices(batches):
             row, lists = batch.column("row").to_numpy(), batch.column("ids")
-            sums = {m: np.zeros(len(row)) for m in ("target", "background")}
+            sums = {m: np.zeros(len(row)) for m in MODELS}
             own_type = own_type or pa.struct([("doc_id", batch.column("doc_id").type), ("n_tokens", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
             for keys, owner in grams(lists):
                 some, group = np.unique(keys, return_inverse=True)
@@ -170,7 +208,7 @@ def scored(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str =
                 known = held["gram"][at] == some if len(held["gram"]) else np.zeros(len(some), bool)
                 for m in sums:
                     bits = np.zeros(len(some))
-                    bits[known] = held[f"{m}_bits"][at[known]]
+                    bits[known] = held[m][at[known]]
                     sums[m] += np.bincount(owner, weights=bits[group], minlength=len(row))
                 rest = ~known[group]
                 pair, n = np.unique(owner[rest] << 32 | group[rest], return_counts=True)
@@ -182,7 +220,7 @@ def scored(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(-1 - row), pa.array(np.zeros(len(row), np.int64)), own], ["row", "gram", "n", "own"])
 
     lines = texts.select("row", "doc_id", "ids").mapInArrow(of_batches, schema).join(seldom, F.col("gram") == F.col("g"), "left")
-    total = {m: F.sum(F.coalesce(F.col(f"own.{m}"), F.col("n") * F.col(f"{m}_bits").cast("double"))) for m in ("target", "background")}
+    total = {m: F.sum(F.coalesce(F.col(f"own.{m}"), F.col("n") * F.col(f"{m}_bits").cast("double"))) for m in MODELS}
     sums = lines.groupBy("row").agg(F.max("own.doc_id").alias("doc_id"), F.max("own.n_tokens").alias("n_tokens"), *[v.alias(m) for m, v in total.items()])
     mean = {m: F.when(F.col("n_tokens") > 0, F.col(m) / F.col("n_tokens")) for m in total}
     return sums.select("doc_id", "n_tokens", mean["target"].alias("target_loss"), mean["background"].alias("background_loss"),
