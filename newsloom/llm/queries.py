@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import crossentropy, exact, idfiles, language, lexicon, minhash, packing, quality, suffix, transducer
+from newsloom.llm import collocations, crossentropy, exact, idfiles, language, lexicon, minhash, packing, quality, suffix, transducer, whitening
 from newsloom.llm.common import documents
 
 #: The id that ends each document in the id files.
@@ -56,6 +56,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.linked(documents(spark, sf_dir), 4)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -67,4 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_minhash": op10_minhash,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
 }

@@ -74,3 +74,37 @@ WITH w AS (
 ORACLE["op8_quality_rules"] = _QUALITY + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND within AS kept FROM j
 """
+
+ORACLE["op12_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+), g AS (
+  SELECT lang, m, list_slice(words, i, i + m - 1) AS words
+  FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM w, range(1, 6) AS lengths(m) WHERE len(words) >= m)
+), f AS (
+  SELECT lang, m, words, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100
+), total AS (
+  SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang
+), longer AS (
+  SELECT lang, part, max(f) AS f
+  FROM (SELECT lang, f, unnest([list_slice(words, 1, m - 1), list_slice(words, 2, m)]) AS part FROM f WHERE m > 2) GROUP BY ALL
+), cut AS (
+  SELECT c.lang, c.words, c.f AS a, unnest(range(1, c.m)) AS k, c.m
+  FROM f c LEFT JOIN longer x ON x.lang = c.lang AND x.part = c.words WHERE c.m > 1 AND (x.f IS NULL OR x.f < c.f)
+), scored AS (
+  SELECT cut.lang, array_to_string(cut.words, ' ') AS phrase, a, k, h.f AS l, t.f AS r, n,
+         ((1000::HUGEINT * a * n) // (h.f::HUGEINT * t.f))::BIGINT AS score
+  FROM cut JOIN f h ON h.lang = cut.lang AND h.words = list_slice(cut.words, 1, k)
+           JOIN f t ON t.lang = cut.lang AND t.words = list_slice(cut.words, k + 1, cut.m)
+           JOIN total ON total.lang = cut.lang
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
