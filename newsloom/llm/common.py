@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,6 +87,19 @@ def each_text(docs: DataFrame, doc_id: str, text: str, work: Callable[[list[str]
     return rows.mapInArrow(of_batches, f"doc_id {kind}, {schema}")
 
 
+def added_up(parts: DataFrame, kind: str, fan: int = 16) -> np.ndarray:
+    """The sum of the arrays of ``parts`` (part long, m binary of numbers of ``kind``), ``fan`` of them at a time in a task until few are left."""
+    def of_group(key: tuple, table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(m, kind) for m in table.sort_by("part").column("m").to_pylist())
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "m": pa.array([total.tobytes()], pa.binary())})
+
+    while parts.count() > fan:
+        level = parts.withColumn("group", F.floor(F.col("part") / fan).cast("long"))
+        parts = landed(level.groupBy("group").applyInArrow(of_group, "part long, m binary"), "sums")
+    rows = sorted((r["part"], bytes(r["m"])) for r in parts.collect())
+    return sum((np.frombuffer(m, kind) for _, m in rows), np.zeros(0 if not rows else len(rows[0][1]) // np.dtype(kind).itemsize, kind))
+
+
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a shared folder and the folder's path in it."""
     if uri.startswith("file:/") and not uri.startswith("file://"):

@@ -294,14 +294,8 @@ def with_items(docs: DataFrame, chosen: DataFrame, width: int, doc_id: str, text
     return found.mapInArrow(itemed, "grp long, digest binary, n long, items binary").dropDuplicates(["digest"])
 
 
-def verified_links(docs: DataFrame, table: DataFrame, width: int, percent: int, doc_id: str, text: str,
-                   group_classes: int = GROUP_CLASSES, group_shingles: int = GROUP_SHINGLES, rounds: int = ROUNDS) -> DataFrame:
-    """(a, b): links between classes that connect all classes linked in truth."""
-    chosen = table.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "h")).alias("one"), F.first("buckets").alias("buckets"))
-    chosen = landed(chosen.withColumn("c", F.xxhash64("digest")), "classes")
-    groups = small(candidate_groups(chosen), 16)
-    wanted = landed(chosen.drop("buckets").join(groups, "c").select(F.col("one.doc_id"), F.col("one.h"), "digest", "grp"), "wanted")
-    members = landed(with_items(docs, small(wanted, 64), width, doc_id, text), "members")
+def all_links(members: DataFrame, percent: int, group_classes: int = GROUP_CLASSES, group_shingles: int = GROUP_SHINGLES, rounds: int = ROUNDS) -> DataFrame:
+    """(a, b): links that connect all linked sets of a group, whatever its size; ``members`` has grp, digest, n and items."""
     links = None
     for k in range(rounds + 1):
         sizes = members.groupBy("grp").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
@@ -324,10 +318,26 @@ def verified_links(docs: DataFrame, table: DataFrame, width: int, percent: int,
     return links
 
 
+def verified_links(docs: DataFrame, table: DataFrame, width: int, percent: int, doc_id: str, text: str,
+                   group_classes: int = GROUP_CLASSES, group_shingles: int = GROUP_SHINGLES, rounds: int = ROUNDS) -> DataFrame:
+    """(a, b): links between classes that connect all classes linked in truth."""
+    chosen = table.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "h")).alias("one"), F.first("buckets").alias("buckets"))
+    chosen = landed(chosen.withColumn("c", F.xxhash64("digest")), "classes")
+    groups = small(candidate_groups(chosen), 16)
+    wanted = landed(chosen.drop("buckets").join(groups, "c").select(F.col("one.doc_id"), F.col("one.h"), "digest", "grp"), "wanted")
+    members = landed(with_items(docs, small(wanted, 64), width, doc_id, text), "members")
+    return all_links(members, percent, group_classes, group_shingles, rounds)
+
+
 def grouped(docs: DataFrame, width: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", **bounds: int) -> DataFrame:
     """doc_id, h, n_shingles and component_id of every row."""
     table = landed(sketches(docs, width, doc_id, text), "sketches")
     roots = small(components(verified_links(docs, table, width, percent, doc_id, text, **bounds)), 64)
+    return named(table, roots)
+
+
+def named(table: DataFrame, roots: DataFrame) -> DataFrame:
+    """doc_id, h, n_shingles, component_id, root of every row of ``table`` (doc_id, h, n, digest), from the root of each digest that has one."""
     found = table.select("doc_id", "h", "n", "digest").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     found = found.withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "digest")))
     names = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))

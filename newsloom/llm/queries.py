@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import collocations, crossentropy, exact, idfiles, language, lexicon, minhash, packing, quality, suffix, transducer, whitening
+from newsloom.llm import collocations, crossentropy, exact, idfiles, language, lexicon, minhash, packing, prefixjoin, quality, suffix, transducer, whitening
 from newsloom.llm.common import documents
 
 #: The id that ends each document in the id files.
@@ -64,6 +64,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mined(documents(spark, sf_dir))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixjoin.joined(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -77,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash": op10_minhash,
     "op11_whitening": op11_whitening,
     "op12_collocations": op12_collocations,
+    "op13_ngram_join": op13_ngram_join,
 }

@@ -11,7 +11,7 @@ centred rows, its singular values and right vectors are those of the rows, and g
 components: directions by falling variance, each divided by its deviation.
 
 Only matrices of dimension x dimension pass between tasks and the driver. Every task adds
-up its rows first, and the sums of ``FAN`` tasks at a time are added until few are left.
+up its rows first, and the sums of some tasks at a time are added until few are left.
 
 Rows are left out if their vector is null, holds a null or an entry that is not finite, or
 has another length than most (of equally frequent lengths the longer counts); so are
@@ -32,14 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import landed
+from newsloom.llm.common import added_up, landed
 
 SCALE, OFFSET = 1024, 100_000
 COMPONENTS = 8
 LARGEST = float(1 << 40)
 PASSES, TOLERANCE = 6, 1e-12
-#: Matrices that a task adds up.
-FAN = 16
 #: Entries in a block of rows.
 ENTRIES = 1 << 18
 #: A direction with a smaller deviation than so much of the largest has none.
@@ -48,7 +46,8 @@ UNIT = 2.0 ** -53
 
 
 def usable(vector: Column) -> Column:
-    return F.coalesce(F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < LARGEST, F.lit(False)) & ~F.isnan(x)), F.lit(False))
+    """Whether a vector is there and has only entries of an exact integer; NaN is above all numbers."""
+    return F.coalesce(F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < LARGEST, F.lit(False))), F.lit(False))
 
 
 def blocks(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int]:
@@ -124,19 +123,8 @@ def added(made: DataFrame, work: Callable[[bytes], np.ndarray], shape: tuple[int
                 total += work(x.as_py())
         yield pa.RecordBatch.from_pydict({"m": [total.tobytes()]})
 
-    def of_group(key: tuple, table: pa.Table) -> pa.Table:
-        total = np.zeros(shape)
-        for m in table.sort_by("part").column("m").to_pylist():
-            total += np.frombuffer(m).reshape(shape)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "m": pa.array([total.tobytes()], pa.binary())})
-
     parts = made.select("x").mapInArrow(of_batches, "m binary").select(F.spark_partition_id().cast("long").alias("part"), "m")
-    parts = landed(parts, "sums")
-    while parts.count() > FAN:
-        level = parts.withColumn("group", F.floor(F.col("part") / FAN).cast("long"))
-        parts = landed(level.groupBy("group").applyInArrow(of_group, "part long, m binary"), "sums")
-    rows = sorted((r["part"], bytes(r["m"])) for r in parts.collect())
-    return sum((np.frombuffer(m).reshape(shape) for _, m in rows), np.zeros(shape))
+    return added_up(landed(parts, "sums"), "<f8").reshape(shape)
 
 
 def factored(made: DataFrame, centre: Centre) -> np.ndarray:

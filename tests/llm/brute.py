@@ -34,7 +34,7 @@ def shingles(text, width):
     return {tuple(words[k:k + width]) for k in range(len(words) - width + 1)}
 
 
-def near_groups(rows, width, roots=False):
+def near_groups(rows, width, roots=False, percent=80):
     """doc_id, shingles, smallest doc_id reachable, for each row in turn; null ids come last."""
     sets = [shingles(t, width) for _, t in rows]
     root = list(range(len(rows)))
@@ -50,7 +50,7 @@ def near_groups(rows, width, roots=False):
             holders[x].append(i)
     both = Counter((a, b) for items in holders.values() for k, a in enumerate(items) for b in items[k + 1:])
     for (a, b), n in both.items():
-        if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             root[find(b)] = find(a)
     if roots:
         return [find(i) if s else None for i, s in enumerate(sets)]
