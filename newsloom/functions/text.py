@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -113,3 +114,12 @@ def cut(text: Column, limit: int | Column, marker: str) -> Column:
     return F.when(
         F.length(text) > limit, F.concat(F.substring(text, F.lit(1), limit), F.lit(marker))
     ).otherwise(text)
+
+
+def names_any(text: Column, terms: Iterable[str]) -> Column:
+    """Whether a text has one of the terms as whole words, without case; false for null and without terms."""
+    words = "|".join(re.escape(term.lower()).replace(r"\ ", r"\s+") for term in terms if term)
+    if not words:
+        return F.lit(False)
+    found = F.lower(text).rlike(rf"(?:^|[^\p{{L}}\p{{N}}])(?:{words})(?:[^\p{{L}}\p{{N}}]|$)")
+    return F.coalesce(found, F.lit(False))

@@ -6,13 +6,13 @@ article text but the final page or export. Terms match as whole words, without c
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import published_timestamp
+from newsloom.functions.text import names_any
 from newsloom.operators.queues import newest_first, take
 
 # The planned lists of terms.
@@ -32,13 +32,6 @@ DAILY, TWICE_DAILY = "1 day", "12 hours"
 VOTE_STEP = 0.1
 
 
-def names_any(text: Column, terms: Iterable[str]) -> Column:
-    """Whether a text has one of the terms as a whole word; false for null."""
-    words = "|".join(re.escape(term.lower()).replace(r"\ ", r"\s+") for term in terms)
-    found = F.lower(text).rlike(rf"(?:^|[^\p{{L}}\p{{N}}])(?:{words})(?:[^\p{{L}}\p{{N}}]|$)")
-    return F.coalesce(found, F.lit(False))
-
-
 def by_tag_and_weight(
     sources: DataFrame, tags: list[str] | None = None, min_weight: float | None = None
 ) -> DataFrame:

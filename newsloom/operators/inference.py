@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from newsloom import constants as C
 from newsloom.functions import chat
-from newsloom.functions.text import strip
+from newsloom.functions.text import names_any, strip
 from newsloom.session import checkpointed
 
 Model = Callable[[DataFrame], DataFrame]
+PROFILE_SYSTEM_PROMPT = "You select articles for one reader. Answer Yes or No first."
+PROFILE_QUESTION = "Does this article fit the reader described here? Answer Yes or No.\nReader: "
 REQUEST_COLUMNS = ["request_id", "system_prompt", "prompt", "title", "text"]
 
 
@@ -102,13 +104,10 @@ def batch_model(
 
 def term_model(terms: Iterable[str]) -> Model:
     """Offline relevance model: "yes" when the request's article names one of the terms."""
-    pattern = "|".join(term.lower() for term in terms)
-    spaced = rf"(?:^|[^\p{{L}}\p{{N}}])(?:{pattern})(?:[^\p{{L}}\p{{N}}]|$)"
-    return column_model(
-        lambda requests: F.when(
-            F.lower(F.concat_ws(" ", requests["title"], requests["text"])).rlike(spaced), "Yes."
-        ).otherwise("no")
-    )
+    terms = tuple(terms)
+    return column_model(lambda requests: F.when(
+        names_any(F.concat_ws(" ", requests["title"], requests["text"]), terms), "Yes."
+    ).otherwise("no"))
 
 
 def tiered_inference(
@@ -163,12 +162,35 @@ def _last_tier(outcome: DataFrame, provider: str, fallback_name: str | None) ->
     )
 
 
-def relevance_requests(articles: DataFrame) -> DataFrame:
+#: Makes (system prompt, prompt) of a title and a text.
+Prompt = Callable[[Column, Column], tuple[Column, Column]]
+
+
+def relevance_prompts(title: Column, text: Column) -> tuple[Column, Column]:
+    return F.lit(C.RELEVANCE_SYSTEM_PROMPT), chat.relevance_prompt(title, text)
+
+
+def profile_prompts(profile: str | Column) -> Prompt:
+    """Prompts that ask whether an article fits the profile of a reader; a column gives each row its own."""
+    who = profile if isinstance(profile, Column) else F.lit(profile)
+
+    def prompts(title: Column, text: Column) -> tuple[Column, Column]:
+        asked = F.concat(
+            F.lit(PROFILE_QUESTION), who, F.lit("\n\nTitle: "), chat.relevance_title(title),
+            F.lit("\nSummary: "), chat.relevance_text(text),
+        )
+        return F.lit(PROFILE_SYSTEM_PROMPT), asked
+
+    return prompts
+
+
+def relevance_requests(articles: DataFrame, prompts: Prompt = relevance_prompts) -> DataFrame:
     title, text = F.col("title"), F.col("original_summary")
+    system_prompt, prompt = prompts(title, text)
     return articles.select(
         F.col("link").alias("request_id"),
-        F.lit(C.RELEVANCE_SYSTEM_PROMPT).alias("system_prompt"),
-        chat.relevance_prompt(title, text).alias("prompt"),
+        system_prompt.alias("system_prompt"),
+        prompt.alias("prompt"),
         # The prompt is cut to its budget; a column model reads the whole article.
         "title",
         text.alias("text"),
@@ -178,9 +200,10 @@ def relevance_requests(articles: DataFrame) -> DataFrame:
 def classify(
     articles: DataFrame, primary: Model | None, fallback: Model | None = None,
     model_name: str | None = C.PRIMARY_MODEL, fallback_name: str = C.FALLBACK_MODEL,
+    prompts: Prompt = relevance_prompts,
 ) -> DataFrame:
     """Relevance decision per link; a failed request is a stored "no", marked as failed."""
-    answers = tiered_inference(relevance_requests(articles), primary, fallback, fallback_name)
+    answers = tiered_inference(relevance_requests(articles, prompts), primary, fallback, fallback_name)
     return answers.select(
         F.col("request_id").alias("link"),
         chat.relevance_answer(F.col("response")).alias("is_ai_relevant"),

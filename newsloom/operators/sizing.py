@@ -1,4 +1,4 @@
-"""Broadcasts behind a measured size."""
+"""Broadcasts behind a measured size, and rows for every core."""
 
 from __future__ import annotations
 
@@ -19,3 +19,9 @@ def broadcast_small(df: DataFrame) -> DataFrame:
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes).alias("bytes")).first()
     small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
     return F.broadcast(df) if small else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores if it comes from fewer files, for work that takes far longer than its scan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -6,6 +6,7 @@ from newsloom import constants as C
 from registry import inputs
 from registry import oracle_inputs as S
 from registry.editorial import EDITORIAL_SQL
+from registry.stories import STORIES_SQL
 from registry.oracle_inputs import quoted, strip
 
 SMALL_BUDGET = 270
@@ -336,4 +337,5 @@ FROM batches""",
 SELECT id, link, title, {_IS_RELEVANT} AS is_ai_relevant FROM stored_texts""",
 
     **EDITORIAL_SQL,
+    **STORIES_SQL,
 }
