@@ -22,6 +22,7 @@ from newsloom.sources import catalogue, feeds, pages
 from newsloom.streaming.incremental import start_ingest
 from registry import inputs
 from registry.editorial import EDITORIAL
+from registry.learned import LEARNED
 from registry.stories import STORIES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -572,5 +573,5 @@ def second_run_same_key(spark, sf_dir):
 
 # -- editorial ----------------------------------------------------------------------------
 
-for _name, _function in {**EDITORIAL, **STORIES}.items():
+for _name, _function in {**EDITORIAL, **STORIES, **LEARNED}.items():
     query(_name)(_function)

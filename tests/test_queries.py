@@ -4,11 +4,12 @@ import pytest
 from compare import difference, open_duckdb
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registry.learned import LEARNED
 from registry.oracle import ORACLE
 from registry.queries import QUERIES
 
 # The queries of the llm subpackage have tests of their own.
-NAMES = sorted(QUERIES)
+NAMES = sorted(set(QUERIES) - set(LEARNED))
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,12 @@ def test_entry_returns_rows(spark):
 EAGER = {"A41_incremental_ingest", "A42_curation_run"}
 
 
+@pytest.mark.parametrize("name", sorted(LEARNED))
+def test_learned_queries_repeat(spark, sf_dir, name):
+    first, second = (sorted(QUERIES[name](spark, sf_dir).collect()) for _ in range(2))
+    assert first == second and first
+
+
 @pytest.mark.parametrize("name", [n for n in NAMES if n not in EAGER])
 def test_plan_stays_in_the_engine(spark, sf_dir, name):
     """No nested-loop or cartesian join, no Python worker in any registered query."""
