@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from newsloom.operators import editorial, inference
+from newsloom.session import shared_folder
+from newsloom.streaming import editions
 from registry import inputs
 from registry import oracle_inputs as S
 from registry.oracle_inputs import quoted
@@ -79,6 +83,16 @@ def b12(spark, sf_dir):
     return found.select(F.unix_seconds("edition").alias("edition_s"), F.col("rank").cast("long").alias("rank"), "id")
 
 
+def b12_streamed(spark, sf_dir):
+    """The same editions, from a stream of the articles as they were landed."""
+    folder = f"{shared_folder(spark)}/editions-{uuid.uuid4().hex}"
+    columns = inputs.articles(spark, sf_dir).select("id", "published_at", "fetched_at")
+    columns.write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(columns.schema).parquet(f"{folder}/landed")
+    editions.start_editions(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return editions.current_editions(spark, f"{folder}/out").select(F.col("edition").alias("edition_s"), "rank", "id")
+
+
 def b13(spark, sf_dir):
     return editorial.unsent_relevant(inputs.articles(spark, sf_dir))
 
@@ -87,7 +101,7 @@ EDITORIAL = {
     "B1_sources_by_tag": b1, "B2_title_blacklist": b2, "B3_minimum_length": b3, "B4_age_cutoff": b4,
     "B5_keyword_score": b5, "B5_top_scored": b5_top, "B6_category_tags": b6, "B8_voted_weights": b8,
     "B9_second_pass": b9, "B10_markdown": b10, "B11_search_page": b11, "B12_editions": b12,
-    "B13_unsent_relevant": b13,
+    "B12_streamed_editions": b12_streamed, "B13_unsent_relevant": b13,
 }
 
 
@@ -139,3 +153,5 @@ WHERE rank <= 15"""),
     "B13_unsent_relevant": _articles(f"""SELECT id, link, title, llm_summary, published_at FROM articles
 WHERE is_ai_relevant AND sent_s IS NULL {_NEWEST} LIMIT 10"""),
 }
+
+EDITORIAL_SQL["B12_streamed_editions"] = EDITORIAL_SQL["B12_editions"]
