@@ -1,4 +1,12 @@
-"""The stages of a training corpus, each over all its predecessor kept."""
+"""The stages of a training corpus, each over all its predecessor kept.
+
+Null, empty and blank texts fail the quality rules, so no later stage has one. Very long
+texts pass whole through every stage; suffix dedup and packing read them in parts. Of
+rows that tie or repeat, the exact stage keeps the one with the smallest doc_id; a null
+doc_id comes last. Columns of the input keep their names and values through all stages
+but the last, also where operators have columns of those names, and only ``text``
+changes, in suffix dedup. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +17,10 @@ from newsloom.llm import exact, minhash, packing, quality, suffix
 from newsloom.llm.common import documents, landed
 
 
+#: Bytes of a repeated passage that the corpus loses: 51 words of four letters and a space.
+PASSAGE_BYTES = 256
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that meet the quality rules."""
     return quality.filtered(docs)
@@ -25,8 +37,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages of 400 bytes or more that repeat."""
-    return suffix.deduplicated(docs)
+    """All documents, without the passages of ``PASSAGE_BYTES`` or more that repeat."""
+    return suffix.deduplicated(docs, PASSAGE_BYTES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
