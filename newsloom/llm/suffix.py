@@ -21,8 +21,9 @@ gets several, and each shard's strings are found in the others by binary search.
 
 An owner with more than ``OWNER_TEXTS`` different texts is cut further: its strings are
 grouped by their distance to the owner in steps of 64, 8 and 1, keyed by all bytes the
-strings of a step share; with the last step a key is one string and its occurrences are
-just added. So no task meets an unbounded group and none is dropped.
+strings of a step share, and equal pieces are combined; with the last step a key is one
+string and its occurrences are just added. So no task meets an unbounded group and none
+is dropped.
 
 Null and empty texts have no bytes, and texts below ``LENGTH`` bytes lose none. Of a
 repeated row all strings repeat, so it loses all bytes if it is long enough. Documents
@@ -53,7 +54,7 @@ OWNER_TEXTS = 2048
 HOT_RUNS = 1000
 STEPS = (64, 8, 1)
 RUN = "owner long, shift int, starts int, place int"
-PIECE = "grp binary, owner long, digest binary, shift int, starts int, place int, text binary, n long"
+PIECE = "grp binary, mark binary, starts int, place int, text binary, n long"
 
 
 def runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -304,20 +305,24 @@ def cut_finer(pieces: DataFrame, step: int, length: int) -> DataFrame:
                         level = (row["place"] - k) // step
                         end = min(row["starts"], row["place"] - level * step + 1)
                         begin = row["place"] - level * step
-                        core = row["text"][begin:begin - step + 1 + length]
-                        grp = hashlib.blake2b(core + level.to_bytes(4, "little", signed=True) + row["owner"].to_bytes(8, "little", signed=True), digest_size=16).digest()
-                        out.append({**row, "grp": grp, "shift": row["shift"] + k, "starts": end - k, "place": row["place"] - k, "text": row["text"][k:end - 1 + length]})
+                        core, text = row["text"][begin:begin - step + 1 + length], row["text"][k:end - 1 + length]
+                        grp = hashlib.blake2b(core + level.to_bytes(4, "little", signed=True) + row["grp"], digest_size=16).digest()
+                        mark = hashlib.blake2b(text + (row["place"] - k).to_bytes(4, "little"), digest_size=16).digest()
+                        out.append({"of_grp": row["grp"], "of_mark": row["mark"], "shift": k, "grp": grp, "mark": mark, "starts": end - k,
+                                    "place": row["place"] - k, "text": text, "n": row["n"]})
                         k = end
-                yield pa.RecordBatch.from_pylist(out, batch.schema)
+                yield pa.RecordBatch.from_pylist(out, schema)
 
-    return pieces.mapInArrow(of_batches, PIECE)
+    schema = pa.schema([(c, pa.binary()) for c in ("of_grp", "of_mark")] + [("shift", pa.int32())] + [(c, pa.binary()) for c in ("grp", "mark")]
+                       + [("starts", pa.int32()), ("place", pa.int32()), ("text", pa.binary()), ("n", pa.int64())])
+    return pieces.mapInArrow(of_batches, f"of_grp binary, of_mark binary, shift int, {PIECE}")
 
 
-RANGES = "owner long, digest binary, shift int, ranges array<int>"
+RANGES = "grp binary, mark binary, ranges array<int>"
 
 
 def sharded(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """owner, digest, shift, ranges: the repeated starts of each piece; all pieces of a group are in one task, one after the other."""
+    """RANGES, the repeated starts of each piece; all pieces of a group are in one task, one after the other."""
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[dict] = []
         group: list[dict] = []
@@ -327,9 +332,8 @@ def sharded(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
             found = repeated([r["text"] for r in rows], np.array([r["starts"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64), length, shard_bytes)
             kept = [(r, x) for r, x in zip(rows, found, strict=True) if x]
             return pa.RecordBatch.from_arrays([
-                pa.array([r["owner"] for r, _ in kept], pa.int64()), pa.array([r["digest"] for r, _ in kept], pa.binary()),
-                pa.array([r["shift"] for r, _ in kept], pa.int32()), pa.array([x for _, x in kept], pa.list_(pa.int32()))],
-                ["owner", "digest", "shift", "ranges"])
+                pa.array([r["grp"] for r, _ in kept], pa.binary()), pa.array([r["mark"] for r, _ in kept], pa.binary()),
+                pa.array([x for _, x in kept], pa.list_(pa.int32()))], ["grp", "mark", "ranges"])
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -351,25 +355,31 @@ def sharded(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     return pieces.repartition("grp").sortWithinPartitions("grp").mapInArrow(of_batches, RANGES)
 
 
-def repeated_ranges(pieces: DataFrame, length: int, owner_texts: int, shard_bytes: int) -> DataFrame:
-    """RANGES of all pieces (owner, digest, starts, place, text, n)."""
-    level = pieces.select(F.encode(F.col("owner").cast("string"), "UTF-8").alias("grp"), "owner", "digest", F.lit(0).alias("shift"), "starts", "place", "text", "n")
-    out = None
-    for step in STEPS:
-        sizes = level.groupBy("grp").agg(F.count("*").alias("texts"), F.sum("n").alias("total")).where("total > 1")
-        sized = level.join(sizes.select("grp", "texts"), "grp")
-        some = sharded(sized.where(F.col("texts") <= owner_texts).drop("texts"), length, shard_bytes)
-        out = some if out is None else out.unionByName(some)
-        large = sized.where(F.col("texts") > owner_texts).drop("texts")
-        if large.isEmpty():
-            return out
-        level = landed(cut_finer(large, step, length), "pieces")
-        if step == 1:
-            # A group is one string now, and occurs twice or more if it has that many pieces.
-            counted = level.groupBy("grp").agg(F.sum("n").alias("total")).where("total > 1").select("grp")
-            one = level.join(counted, "grp").select("owner", "digest", "shift", F.array(F.lit(0), F.lit(1)).alias("ranges"))
-            out = out.unionByName(one)
-    return out
+def repeated_ranges(pieces: DataFrame, length: int, owner_texts: int, shard_bytes: int, steps: tuple[int, ...] = STEPS) -> DataFrame:
+    """RANGES of all pieces (PIECE), each different one of a group once.
+
+    What a group too large for a task is cut into is again combined to different pieces: of
+    a passage that very many documents share, few are left. Their ranges go back to the
+    pieces they were cut from.
+    """
+    sizes = landed(pieces.groupBy("grp").agg(F.count("*").alias("texts"), F.sum("n").alias("total")).where("total > 1"), "sizes")
+    many = landed(sizes.where(F.col("texts") > owner_texts).select("grp").coalesce(1), "large")
+    # Groups that are too large are few, and none of their pieces is dealt by its group.
+    large = small(many, 32)
+    fits = pieces.join(large, "grp", "left_anti").join(sizes.where(F.col("texts") <= owner_texts).select("grp"), "grp")
+    out = sharded(fits, length, shard_bytes)
+    if many.isEmpty():
+        return out
+    finer = landed(cut_finer(pieces.join(large, "grp", "left_semi"), steps[0], length), "pieces", "zstd")
+    one = finer.groupBy("grp", "mark").agg(*[F.first(c).alias(c) for c in ("starts", "place", "text")], F.sum("n").alias("n"))
+    if len(steps) > 1:
+        found = repeated_ranges(landed(one, "pieces", "zstd"), length, owner_texts, shard_bytes, steps[1:])
+    else:
+        # A group is one string now, and so is its piece.
+        found = one.where("n > 1").select("grp", "mark", F.array(F.lit(0), F.lit(1)).alias("ranges"))
+    found = small(landed(found, "ranges"), F.size("ranges") * 4 + 64)
+    back = finer.select("of_grp", "of_mark", "shift", "grp", "mark").join(found, ["grp", "mark"])
+    return out.unionByName(back.select(F.col("of_grp").alias("grp"), F.col("of_mark").alias("mark"), F.transform("ranges", lambda x: x + F.col("shift")).alias("ranges")))
 
 
 def of_frequent_owners(every: DataFrame) -> DataFrame:
@@ -391,13 +401,13 @@ def removals(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text
     found = of_frequent_owners(every)
     # zstd folds the overlaps of neighbouring run texts.
     texts = landed(run_texts(docs, found, length, doc_id, text), "run-texts", "zstd")
-    pieces = texts.groupBy("owner", "digest").agg(F.first("starts").alias("starts"), F.first("place").alias("place"),
-                                                   F.first("text").alias("text"), F.count("*").alias("n"))
+    texts = texts.withColumnRenamed("digest", "mark").withColumn("grp", F.encode(F.col("owner").cast("string"), "UTF-8"))
+    pieces = texts.groupBy("grp", "mark").agg(F.first("starts").alias("starts"), F.first("place").alias("place"),
+                                              F.first("text").alias("text"), F.count("*").alias("n"))
     ranges = landed(repeated_ranges(landed(pieces, "pieces", "zstd"), length, owner_texts, shard_bytes), "ranges")
     # A piece can be cut into many; their ranges lie within its starts.
-    joined = ranges.withColumnRenamed("shift", "inner").groupBy("owner", "digest").agg(
-        F.flatten(F.collect_list(F.transform("ranges", lambda x: x + F.col("inner")))).alias("ranges"))
-    at = texts.select("doc_id", "h", "owner", "digest", "shift").join(joined, ["owner", "digest"])
+    joined = ranges.groupBy("grp", "mark").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    at = texts.select("doc_id", "h", "grp", "mark", "shift").join(joined, ["grp", "mark"])
     return at.groupBy("doc_id", "h").agg(F.flatten(F.collect_set(F.transform("ranges", lambda x: x + F.col("shift")))).alias("spans"))
 
 
