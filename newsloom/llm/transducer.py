@@ -32,6 +32,7 @@ from newsloom.llm.pieces import Merges, blocks, cut, distinct, merges, parts_of
 
 #: A worker's table holds this many states before it starts anew.
 MAX_STATES = 300_000
+BLOCK = 1 << 19
 LIMIT = 1024
 
 
@@ -178,7 +179,7 @@ def count_tokens(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and tokens of each text."""
     machine, special = transducer(path), merges(path).special
     n_bytes, n_tokens = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    for first, last in blocks(texts):
+    for first, last in blocks(texts, BLOCK):
         n_bytes[first:last] = [len(text.encode()) for text in texts[first:last]]
         parts, ids, owner = parts_of(texts[first:last], special)
         np.add.at(n_tokens, first + owner[ids >= 0], 1)
