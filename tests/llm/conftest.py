@@ -29,7 +29,9 @@ def odd_docs(spark):
     # Columns named like those the operators make.
     for name in ("row", "h", "norm", "kept", "n_words", "grp", "digest", "spans", "bucket", "rest", "root", "d", "points"):
         frame = frame.selectExpr("*", f"'own' AS {name}")
-    return frame.cache()
+    frame = frame.cache()
+    yield frame
+    frame.unpersist()
 
 
 @pytest.fixture(scope="session")
