@@ -72,14 +72,16 @@ def run_curation(
     store: ArticleStore, entries: DataFrame, sources: DataFrame, models: Models, run_key: str,
     pages: DataFrame | None = None,
 ) -> RunReport:
-    """Ingest, then relevance, then summaries.
+    """Ingest, then relevance, then summaries; what is left open is kept for the next run.
 
     A replay of ``run_key`` changes nothing; with new entries the key is continued.
     """
     store.ensure_tables()
     ingest = store.add_entries(entries, sources, run_key, pages)
     processed, retained = filter_backlog(store, models, run_key)
-    return RunReport(ingest, processed, retained, summarize_queue(store, models, run_key))
+    report = RunReport(ingest, processed, retained, summarize_queue(store, models, run_key))
+    store.work.refresh()
+    return report
 
 
 def publish_digest(
@@ -115,4 +117,5 @@ def publish_digest(
             delivered = document["part"]
         ready = ready.filter(F.col("part") <= delivered)
     store.mark_sent(ready.select(F.col("id").alias("article_id")), run_key, run_key)
+    store.work.refresh()
     return store.of_run("sent_facts", run_key).count()

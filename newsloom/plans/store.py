@@ -5,10 +5,14 @@ ingest adds only links that no batch holds yet, and a stage takes only rows that
 still open, so a retried or replayed run adds nothing and a run key that is used again
 keeps what it wrote before. Stored ids and ``fetched_at`` never change. The one thing
 that is replaced is the text of a digest, which follows from its stored selection.
+
+Three things keep runs from reading the whole store: an index of the stored links
+(``links``), the table of open work (``work``), and files merged by ``compact``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -21,6 +25,9 @@ from newsloom import schemas
 from newsloom.operators import entries as entry_ops
 from newsloom.operators import facts, insertion, queues
 from newsloom.operators.sizing import broadcast_small
+from newsloom.plans.compaction import TARGET_BYTES, Compacted
+from newsloom.plans.links import LinkIndex
+from newsloom.plans.work import OpenWork
 from newsloom.session import checkpointed
 from newsloom.settings import Settings
 from newsloom.sources.pages import attach_page_text
@@ -46,6 +53,8 @@ class ArticleStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.settings = settings
+        self.links = LinkIndex(spark, self.root, settings.link_folders)
+        self.work = OpenWork(self)
 
     # -- tables ---------------------------------------------------------------
 
@@ -58,8 +67,28 @@ class ArticleStore:
             empty = self.spark.createDataFrame([], schema)
             empty.write.mode("ignore").partitionBy(key).parquet(self.path(table))
 
+        if not self.links.exists():
+            self.links.ensure()
+            stored = self.raw().select("link", "batch_key")
+            if not stored.isEmpty():
+                self.links.announce(stored)
+
+    def layout(self, table: str) -> tuple[T.StructType, str]:
+        """The schema of a table and its partition column."""
+        return TABLES[table]
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[table][0]).parquet(self.path(table))
+        return Compacted(self, table).read()
+
+    def compact(self, tables: Iterable[str] = tuple(TABLES), target_bytes: int = TARGET_BYTES) -> None:
+        """Merges the small files of the tables; readers change over at each table's commit."""
+        for table in tables:
+            for _ in Compacted(self, table).steps(target_bytes):
+                pass
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Removes merged files that no reader of the ``keep`` last generations needs; how many."""
+        return sum(Compacted(self, table).vacuum(keep) for table in TABLES)
 
     def of_run(self, table: str, key: str) -> DataFrame:
         """The rows of one batch or run; the scan reads its partition alone."""
@@ -108,10 +137,8 @@ class ArticleStore:
         )
         firsts = checkpointed(insertion.first_arrivals(keys))
         stored = self.raw()
-        # Of the stored links only those offered again matter; a small batch is
-        # broadcast to their scan, so the store itself is not shuffled.
         offered_links = broadcast_small(firsts.select("link"))
-        known = stored.select("link").join(offered_links, "link", "left_semi")
+        known = self.links.known(offered_links, stored.select("link", "batch_key"))
         before = self.of_run("articles_raw", batch_key).join(offered_links, "link", "left_semi").count()
         arrivals = insertion.with_dense_ids(
             insertion.new_arrivals_of(firsts, known), [*insertion.ARRIVAL, "link"],
@@ -125,6 +152,8 @@ class ArticleStore:
         inserted = entry_ops.article_rows(
             rows, self.settings.feed_fallback_threshold, keep=("id",)
         ).withColumn("fetched_at", F.date_trunc("second", F.current_timestamp()))
+        # Announced first: an article is never stored without its link in the index.
+        self.links.announce(arrivals.select("link", F.lit(batch_key).alias("batch_key")))
         added = self._write("articles_raw", inserted, batch_key)
         return IngestReport(seen.get["rows"], before + added)
 
@@ -132,9 +161,9 @@ class ArticleStore:
         return queues.inserted_sample(self.raw(), added)
 
     # -- queues ---------------------------------------------------------------
-    # Which rows are open is decided without the article text and with no more
-    # fact tables than needed; the text is then read for the open rows alone.
-    # Joining on the partition column as well lets the scan skip partitions
+    # Which rows are open is decided over the open work, without the article text
+    # and with no more facts than needed; the text is then read for the open rows
+    # alone. Joining on the partition column as well lets the scan skip partitions
     # without open rows.
 
     _QUEUE = ("id", "link", "title", "original_summary")
@@ -145,7 +174,8 @@ class ArticleStore:
 
     def open_for_filtering(self) -> DataFrame:
         """The articles without a decision, in no order, for a model that needs none."""
-        articles = facts.with_relevance(self.raw(), self.read("relevance_facts"))
+        pending = self.work.pending()
+        articles = facts.with_relevance(pending["articles_raw"], pending["relevance_facts"])
         keys = articles.filter(queues.needs_relevance()).select("batch_key", "id", "fetched_at")
         return self._with_text(keys)
 
@@ -155,9 +185,10 @@ class ArticleStore:
 
     def open_for_summarization(self, limit: int) -> DataFrame:
         """The newest relevant articles without a summary, in no order."""
+        pending = self.work.pending()
         articles = facts.with_summary(
-            facts.with_relevance(self.raw(), self.read("relevance_facts")),
-            self.read("summary_facts"),
+            facts.with_relevance(pending["articles_raw"], pending["relevance_facts"]),
+            pending["summary_facts"],
         )
         queue = articles.filter(queues.needs_summary())
         if limit >= 0:
@@ -169,9 +200,10 @@ class ArticleStore:
         return self.open_for_summarization(limit).orderBy(*order).select(*self._QUEUE)
 
     def _digest_state(self) -> DataFrame:
-        articles = facts.with_relevance(self.raw(), self.read("relevance_facts"))
-        summarized = facts.with_summary(articles, self.read("summary_facts"))
-        return facts.with_sent(summarized, self.read("sent_facts"))
+        pending = self.work.pending()
+        articles = facts.with_relevance(pending["articles_raw"], pending["relevance_facts"])
+        summarized = facts.with_summary(articles, pending["summary_facts"])
+        return facts.with_sent(summarized, pending["sent_facts"])
 
     def for_digest(self, limit: int = C.DIGEST_QUEUE_LIMIT) -> DataFrame:
         return queues.digest_candidates(self._digest_state(), limit)

@@ -1,9 +1,9 @@
 """Incremental runs with Structured Streaming.
 
 Feeds may list an item at any later time and there is no lateness bound, so
-links are not kept as streaming state: every micro-batch is compared with the
-stored table instead. A batch writes partitions named after itself and replaces
-them when it is replayed, which makes the results exactly-once.
+links are not kept as streaming state: every micro-batch asks the store's index of
+links instead. A batch adds to partitions named after itself; a replay finds its links
+stored and its rows decided and adds nothing, which makes the results exactly-once.
 """
 
 from __future__ import annotations
