@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import landed, slices, small
+from newsloom.llm.common import BROADCAST_BYTES, landed, slices, small
 from newsloom.llm.components import components
 from newsloom.llm.pieces import blocks, span_hashes
 
@@ -48,10 +48,12 @@ BLOCK = 1 << 19
 ITEMS = 1 << 17
 #: Percent of the union that two linked sets share.
 PERCENT = 80
-GROUP_CLASSES, GROUP_SHINGLES = 1000, 1 << 21
+GROUP_CLASSES, GROUP_SHINGLES = 256, 1 << 21
 ROUNDS = 2
 #: Parts a large group is dealt into.
 SALTS = 64
+#: Rows of a component whose name is told to all tasks.
+HOT_ROWS = 1000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -231,10 +233,18 @@ def small_links(members: DataFrame, percent: int) -> DataFrame:
 
 def pivoted(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links of large groups with their pivots, and what is left of these groups."""
-    pivots = members.groupBy("grp").agg(F.min_by(F.struct("digest", "items"), F.struct(F.xxhash64("digest"), "digest")).alias("p"))
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)))
-    copies = pivots.select("grp", F.col("p.digest").alias("pivot"), F.col("p.items").alias("pivot_items"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    pairs = salted.join(copies, ["grp", "salt"]).where("digest != pivot")
+    chosen = members.groupBy("grp").agg(F.min_by("digest", F.struct(F.xxhash64("digest"), "digest")).alias("pivot"))
+    chosen = small(landed(chosen, "pivots").withColumnRenamed("grp", "g"), 32)
+    pivots = landed(members.join(chosen, (F.col("grp") == F.col("g")) & (F.col("digest") == F.col("pivot"))).select(
+        "grp", "pivot", F.col("items").alias("pivot_items")), "pivot-sets")
+    size = pivots.agg(F.sum(F.octet_length("pivot_items"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        pairs = members.join(F.broadcast(pivots), "grp")
+    else:
+        salted = members.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)))
+        copies = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        pairs = salted.join(copies, ["grp", "salt"])
+    pairs = pairs.where("digest != pivot")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,14 +260,14 @@ def pivoted(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     seen = landed(columns.mapInArrow(measured, "grp long, digest binary, n long, items binary, pivot binary, linked boolean, far double"), "pivoted")
     links = seen.where("linked").select(F.col("pivot").alias("a"), F.col("digest").alias("b"))
     nearest = seen.where("not linked").groupBy("grp").agg((F.min("far") - (100 - percent) / 100 - 1e-9).alias("from"))
-    left = seen.join(nearest, "grp").where("not linked or far >= from").select("grp", "digest", "n", "items")
+    left = seen.join(small(landed(nearest, "nearest"), 24), "grp").where("not linked or far >= from").select("grp", "digest", "n", "items")
     return links, left
 
 
 def block_links(members: DataFrame, percent: int) -> DataFrame:
     """Links of groups that pivots do not make small: blocks of classes, each pair of blocks in a task."""
     sizes = members.groupBy("grp").agg((F.ceil(F.greatest(F.count("*") / GROUP_CLASSES, F.sum("n") / GROUP_SHINGLES)) * 2).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    dealt = members.join(small(landed(sizes, "sizes"), 24), "grp").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pairs = dealt.select("*", other).select(
         "grp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "digest", "items")
@@ -340,10 +350,14 @@ def named(table: DataFrame, roots: DataFrame) -> DataFrame:
     """doc_id, h, n_shingles, component_id, root of every row of ``table`` (doc_id, h, n, digest), from the root of each digest that has one."""
     found = table.select("doc_id", "h", "n", "digest").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     found = found.withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "digest")))
-    names = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    several = found.where("root is not null").join(names, "root").select("doc_id", "h", F.col("n").alias("n_shingles"), "component_id", "root")
-    alone = found.where("root is null").select("doc_id", "h", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "root")
-    return several.unionByName(alone)
+    names = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
+    names = landed(names.where("rows > 1"), "names")
+    # Components of very many rows are few, and none of their rows is dealt by its root.
+    large = small(names.where(F.col("rows") > HOT_ROWS).drop("rows"), 32)
+    columns = ("doc_id", "h", F.col("n").alias("n_shingles"), "component_id", "root")
+    hot = found.join(large, "root").select(*columns)
+    rest = found.join(large, "root", "left_anti").join(names.where(F.col("rows") <= HOT_ROWS).drop("rows"), "root", "left")
+    return hot.unionByName(rest.withColumn("component_id", F.coalesce("component_id", "doc_id")).select(*columns))
 
 
 def linked(docs: DataFrame, width: int = 5, **options) -> DataFrame:
