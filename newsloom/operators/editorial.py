@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from newsloom.functions.dates import published_timestamp
 from newsloom.functions.text import names_any
 from newsloom.operators.queues import newest_first, take
+from newsloom.operators.sizing import broadcast_small
+from newsloom.session import checkpointed
 
 # The planned lists of terms.
 TITLE_BLACKLIST = ("giveaway", "sponsored", "opinion")
@@ -86,6 +88,56 @@ def voted_weights(sources: DataFrame, votes: DataFrame, step: float = VOTE_STEP)
     return sources.join(balance, "name", "left").select("name", F.greatest(weight, F.lit(0.0)).alias("weight"))
 
 
+#: Parts of a whole that shares are counted in, the weight of a vote of today, and days after which it is worth half.
+MILLION, FULL_VOTE, HALF_LIFE = 1_000_000, 1024, 30
+
+
+def smoothed_votes(votes: DataFrame, as_of: Column, half_life: int = HALF_LIFE) -> DataFrame:
+    """(name, share): the share of up votes of each source in millionths, drawn to that of all sources.
+
+    ``votes`` has source_name, vote (1 or -1) and voted_at; a vote loses half its weight with
+    each ``half_life`` days. How strongly a source is drawn to the overall share follows from
+    all sources: as many votes are added as make the chance of a single vote equal to what
+    the sources really differ by, beyond what chance alone would give. All of it is whole
+    numbers. Votes without a source, a time or a value do not count.
+    """
+    age = F.greatest(F.floor((F.unix_seconds(as_of) - F.unix_seconds("voted_at")) / 86_400), F.lit(0))
+    weight = F.call_function("shiftright", F.lit(FULL_VOTE), F.least(F.floor(age / half_life), F.lit(30)).cast("int")).cast("long")
+    usable = votes.filter("source_name IS NOT NULL AND vote IS NOT NULL AND voted_at IS NOT NULL").withColumn("weight", weight)
+    by_source = checkpointed(usable.filter("weight > 0").groupBy(F.col("source_name").alias("name")).agg(
+        F.sum("weight").alias("n"), F.sum(F.when(F.col("vote") > 0, F.col("weight")).otherwise(0)).alias("up")))
+    total = by_source.agg(F.sum("n").alias("n"), F.sum("up").alias("up"), F.count(F.lit(1)).alias("sources")).first()
+    if not total["sources"]:
+        return by_source.select("name", F.lit(0).cast("long").alias("share"))
+    overall = MILLION * total["up"] // total["n"]
+    div = lambda a, b: F.call_function("div", a, b)
+    away = div(MILLION * F.col("up"), F.col("n")) - overall
+    spread = by_source.agg(F.sum(div(F.col("n") * div(away * away, F.lit(MILLION)), F.lit(FULL_VOTE))).alias("spread")).first()["spread"]
+    # In millionths: what one vote differs by, what sources differ by, and what of that is chance.
+    single = overall * (MILLION - overall) // MILLION
+    seen = spread * FULL_VOTE // total["n"]
+    chance = single * FULL_VOTE * total["sources"] // total["n"]
+    prior = single * FULL_VOTE // max(seen - chance, 1)
+    return by_source.select("name", div(MILLION * F.col("up") + F.lit(prior * overall), F.col("n") + F.lit(prior)).alias("share"))
+
+
+def smoothed_weights(sources: DataFrame, votes: DataFrame, as_of: Column, half_life: int = HALF_LIFE) -> DataFrame:
+    """(name, weight): weights times one half for a source voted down only, up to one and a half; unchanged without votes."""
+    shares = smoothed_votes(votes, as_of, half_life)
+    factor = F.coalesce((MILLION + 2 * F.col("share")) / (2 * MILLION), F.lit(1.0))
+    return sources.join(shares, "name", "left").select("name", (F.coalesce("weight", F.lit(1.0)) * factor).alias("weight"))
+
+
+def best_weighted(
+    articles: DataFrame, weights: DataFrame, limit: int, groups: Iterable[tuple[int, Iterable[str]]] = KEYWORD_GROUPS
+) -> DataFrame:
+    """(id, link, score): the articles with the best keyword score times the weight (name, weight) of their source."""
+    scored = articles.select("id", "link", "source_name", keyword_score(groups).alias("points"))
+    named = scored.join(broadcast_small(weights.withColumnRenamed("name", "source_name")), "source_name", "left")
+    score = F.col("points") * F.coalesce("weight", F.lit(1.0))
+    return take(named.select("id", "link", score.alias("score")).orderBy(F.desc("score"), "id"), limit)
+
+
 def search_page(
     articles: DataFrame, terms: Iterable[str], size: int, after: tuple[str, int] | None = None
 ) -> DataFrame:
@@ -122,4 +174,4 @@ def markdown_item() -> Column:
 
 def json_item() -> Column:
     """One line of a JSON export."""
-    return F.to_json(F.struct("id", "link", "title", "source_name", "published_at", "llm_summary"))
+    return F.to_json(F.struct("id", "link", "title", "source_name", "published_at", "llm_summary"), {"ignoreNullFields": "false"})
