@@ -172,6 +172,7 @@ def markdown_item() -> Column:
     return F.concat(F.lit("- ["), title, F.lit("]("), F.coalesce("link", F.lit("")), F.lit("): "), F.coalesce("llm_summary", F.lit("")))
 
 
-def json_item() -> Column:
-    """One line of a JSON export."""
-    return F.to_json(F.struct("id", "link", "title", "source_name", "published_at", "llm_summary"), {"ignoreNullFields": "false"})
+def json_item(nulls: bool = False) -> Column:
+    """One line of a JSON export; with ``nulls`` every line has all fields."""
+    fields = F.struct("id", "link", "title", "source_name", "published_at", "llm_summary")
+    return F.to_json(fields, {"ignoreNullFields": str(not nulls).lower()})

@@ -23,7 +23,7 @@ from newsloom.operators.insertion import with_dense_ids
 from newsloom.operators.queues import newest_first
 
 ROWS = 100_000
-KINDS = {"json": json_item, "markdown": markdown_item}
+KINDS = {"json": lambda: json_item(nulls=True), "markdown": markdown_item}
 MANIFEST = "file long, first long, lines long, digest string"
 LINES = "file long, rank long, line string"
 
