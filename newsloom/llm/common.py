@@ -87,17 +87,22 @@ def each_text(docs: DataFrame, doc_id: str, text: str, work: Callable[[list[str]
     return rows.mapInArrow(of_batches, f"doc_id {kind}, {schema}")
 
 
-def added_up(parts: DataFrame, kind: str, fan: int = 16) -> np.ndarray:
-    """The sum of the arrays of ``parts`` (part long, m binary of numbers of ``kind``), ``fan`` of them at a time in a task until few are left."""
+def added_up(parts: DataFrame, kind: str, size: int, add: np.ufunc = np.add, fan: int = 16) -> np.ndarray:
+    """The arrays of ``parts`` (part long, m binary of ``size`` numbers of ``kind``) put together by ``add``, ``fan`` at a time in a task until one is left."""
+    def of(rows: list[bytes]) -> np.ndarray:
+        total = np.zeros(size, kind)
+        for m in rows:
+            add(total, np.frombuffer(m, kind), out=total)
+        return total
+
     def of_group(key: tuple, table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(m, kind) for m in table.sort_by("part").column("m").to_pylist())
+        total = of(table.sort_by("part").column("m").to_pylist())
         return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "m": pa.array([total.tobytes()], pa.binary())})
 
-    while parts.count() > fan:
+    while parts.count() > 1:
         level = parts.withColumn("group", F.floor(F.col("part") / fan).cast("long"))
         parts = landed(level.groupBy("group").applyInArrow(of_group, "part long, m binary"), "sums")
-    rows = sorted((r["part"], bytes(r["m"])) for r in parts.collect())
-    return sum((np.frombuffer(m, kind) for _, m in rows), np.zeros(0 if not rows else len(rows[0][1]) // np.dtype(kind).itemsize, kind))
+    return of([bytes(r["m"]) for r in sorted(parts.collect())])
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:

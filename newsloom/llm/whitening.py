@@ -124,7 +124,7 @@ def added(made: DataFrame, work: Callable[[bytes], np.ndarray], shape: tuple[int
         yield pa.RecordBatch.from_pydict({"m": [total.tobytes()]})
 
     parts = made.select("x").mapInArrow(of_batches, "m binary").select(F.spark_partition_id().cast("long").alias("part"), "m")
-    return added_up(landed(parts, "sums"), "<f8").reshape(shape)
+    return added_up(landed(parts, "sums"), "<f8", shape[0] * shape[1]).reshape(shape)
 
 
 def factored(made: DataFrame, centre: Centre) -> np.ndarray:
