@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from newsloom.operators.sizing import broadcast_small
 from newsloom.session import checkpointed
 
-FOLDERS = 16
+FOLDERS = 8
 #: Bits of a folder's bitmaps.
 BITS = 1 << 22
 #: Bits of one bitmap row, as Spark's bitmap functions have them.

@@ -20,4 +20,4 @@ class Settings:
     max_retries: int = C.MAX_RETRIES
     base_backoff_seconds: float = C.BASE_BACKOFF_SECONDS
     brand: str = "News"
-    link_folders: int = 16
+    link_folders: int = 8
