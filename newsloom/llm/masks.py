@@ -19,24 +19,26 @@ from newsloom.llm.common import added_up, landed
 MASK_BITS = 26
 
 
-def places(ids: np.ndarray) -> np.ndarray:
-    return (ids.view(np.uint64) >> np.uint64(64 - MASK_BITS)).astype(np.int64)
+def places(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (ids.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def has(mask: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Whether the bit of each number is set."""
-    at = places(ids)
+    at = places(ids, len(mask).bit_length() + 2)
     return mask[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
 
 
-def mask_of(ids: DataFrame) -> np.ndarray:
-    """The bit table of the numbers in column ``id``."""
+def mask_of(ids: DataFrame, bits: int = MASK_BITS) -> np.ndarray:
+    """The table of 2 ** ``bits`` bits of the numbers in column ``id``."""
+    size = 1 << bits - 3
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << MASK_BITS - 3, np.uint8)
+        mask = np.zeros(size, np.uint8)
         for batch in batches:
-            at = places(batch.column("id").to_numpy())
-            np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_pydict({"m": [bits.tobytes()]})
+            at = places(batch.column("id").to_numpy(), bits)
+            np.bitwise_or.at(mask, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+        yield pa.RecordBatch.from_pydict({"m": [mask.tobytes()]})
 
     made = ids.select("id").mapInArrow(of_batches, "m binary").select(F.spark_partition_id().cast("long").alias("part"), "m")
-    return added_up(landed(made, "bits", "zstd"), "u1", 1 << MASK_BITS - 3, np.bitwise_or)
+    return added_up(landed(made, "bits", "zstd"), "u1", size, np.bitwise_or)
