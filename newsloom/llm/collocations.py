@@ -63,8 +63,8 @@ NEXT = re.compile(r"[\x20\x09]*([^\x20\x09.,;:!?\x0A-\x0D]+)")
 SIDES = ("right", "left")
 #: Bits of the name of a bit that tells of a frequent phrase: tables of 2 MB.
 BITS = 24
-#: Tasks that read the shards.
-TASKS = 10_000
+#: Tasks that read the shards, shards that a task reads for their words, and words it remembers.
+TASKS, TOGETHER, SEEN = 10_000, 16, 1 << 20
 
 
 def parts(text: str, longest: int) -> Iterator[tuple[str, int]]:
@@ -348,12 +348,17 @@ def words_of(folder: str, shards: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = shards.sparkSession.sparkContext.broadcast(mask_of(wanted, BITS))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
                 table = Index(folder, shard).words
-                yield from table.filter(pa.array(has(shared.value, table.column("id").to_numpy()))).to_batches(max_chunksize=1 << 16)
+                ids = table.column("id").to_numpy()
+                new = has(shared.value, ids) & ~np.isin(ids, seen)
+                seen = np.concatenate([seen if len(seen) < SEEN else seen[:0], ids[new]])
+                yield from table.filter(pa.array(new)).to_batches(max_chunksize=1 << 16)
 
-    # Shards share most words: only different ones are joined.
+    # Shards share most words: a task tells each once, and only different ones are joined.
+    shards = shards.repartition(-(-shards.count() // TOGETHER) or 1)
     found = landed(shards.mapInArrow(of_batches, "id long, lang string, word string").distinct(), "words")
     shared.unpersist()
     found = landed(found.join(wanted.select("id"), "id", "left_semi"), "words")
