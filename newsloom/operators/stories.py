@@ -2,7 +2,7 @@
 
 An article is the set of its word shingles, and articles of one range of days tell the
 same story if their sets are similar or others connect them. Articles of equal sets are
-one class. Bands of a MinHash signature find the candidates; with 32 bands of 4 places a
+one class. Bands of a MinHash signature, made of whole Arrow batches, find the candidates; with 32 bands of 4 places a
 pair at a similarity of 0.8 is missed with a probability below 1e-7. Every candidate pair
 is verified on whole sets, and links become stories as connected components.
 
@@ -19,7 +19,10 @@ article. An empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, MinHashLSH
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +36,8 @@ from newsloom.session import checkpointed
 WIDTH, PERCENT = 5, 80
 RANGE_DAYS = 14
 BANDS, BAND = 32, 4
-#: Slots that shingles are hashed to for signatures; sets are compared by 64-bit hashes.
-SLOTS = 1 << 30
+#: Shingles that are hashed at once for signatures.
+BLOCK = 1 << 16
 SEED = 20250701
 PAIRED, ROUNDS = 100, 3
 TRAILING_DAYS, TOP = 3, 10
@@ -53,11 +56,12 @@ def day_of(at: Column) -> Column:
 def shingles(text: Column, width: int = WIDTH) -> Column:
     """The distinct hashes of all runs of ``width`` words; of all words if they are fewer; empty without words."""
     def of_words(words: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(1), F.size(words) - (width - 1)), lambda i: F.xxhash64(F.slice(words, i, width)))
+        runs = F.transform(F.sequence(F.lit(1), F.size(words) - (width - 1)), lambda i: F.xxhash64(*[F.get(words, i + (k - 1)) for k in range(width)]))
         none = F.array().cast("array<bigint>")
         return F.when(F.size(words) >= width, F.array_distinct(runs)).when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(none)
 
-    return let(words_of(F.coalesce(text, F.lit(""))), of_words)
+    hashes = F.transform(words_of(F.coalesce(text, F.lit(""))), lambda word: F.xxhash64(word))
+    return let(hashes, of_words)
 
 
 def similar(percent: int) -> Column:
@@ -69,12 +73,44 @@ def shared_with(other: str) -> Column:
     return F.size(F.array_intersect("items", other)).cast("long").alias("shared")
 
 
+def lowest(items: np.ndarray, starts: np.ndarray, factor: np.uint64) -> np.ndarray:
+    """The smallest of the items of each set, in an order of their own for each odd factor."""
+    with np.errstate(over="ignore"):
+        x = items * factor
+        return np.minimum.reduceat((x ^ (x >> np.uint64(32))) * factor, starts)
+
+
+def band_keys(items: np.ndarray, starts: np.ndarray, bands: int, band: int) -> np.ndarray:
+    """A row for each set with the keys of its bands; ``starts`` are the first places of the sets, none empty."""
+    factors = np.random.default_rng(SEED).integers(1 << 63, size=bands * band, dtype=np.uint64) | np.uint64(1)
+    keys = np.empty((len(starts), bands), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(bands):
+            key = np.full(len(starts), k + 1, np.uint64)
+            for factor in factors[k * band:(k + 1) * band]:
+                key = (key ^ (key >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + lowest(items, starts, factor)
+            keys[:, k] = key ^ (key >> np.uint64(32))
+    return keys.view(np.int64)
+
+
 def signatures(sets: DataFrame, bands: int, band: int) -> DataFrame:
-    """``sets`` with the keys of its bands."""
-    hashed = HashingTF(inputCol="items", outputCol="slots", numFeatures=SLOTS, binary=True).transform(sets)
-    lsh = MinHashLSH(inputCol="slots", outputCol="hashes", numHashTables=bands * band, seed=SEED).fit(hashed)
-    keys = F.array(*[F.xxhash64(F.lit(k), F.slice("hashes", k * band + 1, band)) for k in range(bands)])
-    return lsh.transform(hashed).withColumn("keys", keys).drop("slots", "hashes")
+    """(c, range, keys): the keys of the bands of all ``sets``, which have items."""
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(batch.column("items").value_lengths().to_numpy(), dtype=np.int64)
+            at = 0
+            while at < len(batch):
+                # As many sets as stay in a core's cache, or one.
+                done = ends[at - 1] if at else 0
+                until = max(at + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+                part = batch.slice(at, until - at)
+                starts = np.append(done, ends[at:until - 1]) - done
+                keys = band_keys(part.column("items").flatten().to_numpy().view(np.uint64), starts, bands, band)
+                listed = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * bands, keys.ravel())
+                yield pa.RecordBatch.from_arrays([part.column("c"), part.column("range"), listed], ["c", "range", "keys"])
+                at = until
+
+    return sets.select("c", "range", "items").mapInArrow(of_batches, "c long, range long, keys array<long>")
 
 
 def pair_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
