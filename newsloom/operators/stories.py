@@ -2,9 +2,10 @@
 
 An article is the set of its word shingles, and articles of one range of days tell the
 same story if their sets are similar or others connect them. Articles of equal sets are
-one class. Bands of a MinHash signature, made of whole Arrow batches, find the candidates; with 32 bands of 4 places a
+one class. Bands of a MinHash signature find the candidates; with 32 bands of 4 places a
 pair at a similarity of 0.8 is missed with a probability below 1e-7. Every candidate pair
-is verified on whole sets, and links become stories as connected components.
+is verified on whole sets, and links become stories as connected components. Words are cut
+by Spark; their sets, the bands and the common items of pairs are made of whole Arrow batches.
 
 A bucket that more than ``PAIRED`` classes share is not paired out. What such buckets
 connect is compared with one pivot for each group: what is linked to it is done, unless
@@ -19,16 +20,18 @@ article. An empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.functions.dates import published_timestamp
-from newsloom.functions.text import let
-from newsloom.operators.extract import words_of
+from newsloom.operators.extract import NOT_WORD
 from newsloom.operators.groups import components
 from newsloom.operators.sizing import broadcast_small, spread
 from newsloom.session import checkpointed
@@ -53,15 +56,94 @@ def day_of(at: Column) -> Column:
     return F.floor(F.unix_seconds(at) / DAY).cast("long")
 
 
-def shingles(text: Column, width: int = WIDTH) -> Column:
-    """The distinct hashes of all runs of ``width`` words; of all words if they are fewer; empty without words."""
-    def of_words(words: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(1), F.size(words) - (width - 1)), lambda i: F.xxhash64(*[F.get(words, i + (k - 1)) for k in range(width)]))
-        none = F.array().cast("array<bigint>")
-        return F.when(F.size(words) >= width, F.array_distinct(runs)).when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(none)
+def mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+@lru_cache(maxsize=4)
+def powers(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random number for each byte, and the powers of an odd number and of its inverse."""
+    random = np.random.default_rng(SEED).integers(1 << 63, size=257, dtype=np.uint64)
+    odd = int(random[256]) | 1
+    grown = [np.cumprod(np.append(np.uint64(1), np.full(size, f, np.uint64)), dtype=np.uint64) for f in (odd, pow(odd, -1, 1 << 64))]
+    return random[:256], *grown
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each word."""
+    of_byte, up, down = powers(1 << max(BLOCK.bit_length(), len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(of_byte[data] * up[:len(data)], out=sums[1:])
+        return mixed((sums[end] - sums[start]) * down[start])
+
+
+def run_hashes(words: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place on."""
+    keys = np.full(len(first), size, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + words[first + k])
+    return keys
+
+
+def shingles(data: np.ndarray, ends: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of all runs of ``width`` words of each text, sorted, and how many a text has.
+
+    Each text ends with a space, at ``ends``. Fewer words are one run of all; none have no hash.
+    """
+    inside = np.concatenate([[False], data != 32, [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    words = word_hashes(data, start, end)
+    owner = np.searchsorted(ends, start, side="right")
+    sizes = np.bincount(owner, minlength=len(ends))
+    # A run begins at each word but the last of a text.
+    first = np.arange(max(0, len(words) - width + 1))
+    first = first[owner[first] == owner[first + width - 1]]
+    items, owners = [run_hashes(words, first, width)], [owner[first]]
+    begins = np.cumsum(sizes) - sizes
+    for size in range(1, width):
+        few = np.flatnonzero(sizes == size)
+        items.append(run_hashes(words, begins[few], size))
+        owners.append(few)
+    items, owner = np.concatenate(items).view(np.int64), np.concatenate(owners)
+    order = np.lexsort((items, owner))
+    items, owner = items[order], owner[order]
+    kept = np.ones(len(items), bool)
+    kept[1:] = (items[1:] != items[:-1]) | (owner[1:] != owner[:-1])
+    return items[kept], np.bincount(owner[kept], minlength=len(ends))
+
+
+def word_sets(rows: DataFrame, text: str, width: int) -> DataFrame:
+    """``rows`` with the shingles of a text (items), their number (n) and a digest of them in place of the text."""
+    kept = [f for f in rows.schema.fields if f.name != text]
+    schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in (
+        ("items", T.ArrayType(T.LongType())), ("n", T.LongType()), ("digest", T.StringType())))])
 
-    hashes = F.transform(words_of(F.coalesce(text, F.lit(""))), lambda word: F.xxhash64(word))
-    return let(hashes, of_words)
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text).cast(pa.large_binary())
+            ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2], np.uint8)
+            at = 0
+            while at < len(batch):
+                # As many texts as stay in a core's cache, or one.
+                until = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK, side="right")) - 1)
+                items, sizes = shingles(data[ends[at]:ends[until]], ends[at + 1:until + 1] - ends[at], width)
+                bounds = np.append(0, np.cumsum(sizes))
+                digests = [hashlib.md5(items[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                part = batch.slice(at, until - at)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(f.name) for f in kept), pa.ListArray.from_arrays(bounds.astype(np.int32), items), pa.array(sizes), pa.array(digests)], schema.names)
+                at = until
+
+    # What is no word becomes a space here, so that letters and cases are those of the other operators.
+    words = F.concat(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), NOT_WORD, " "), F.lit(" "))
+    return rows.withColumn(text, words).mapInArrow(of_batches, schema)
 
 
 def similar(percent: int) -> Column:
@@ -73,17 +155,20 @@ def shared_with(other: str) -> Column:
     return F.size(F.array_intersect("items", other)).cast("long").alias("shared")
 
 
-def lowest(items: np.ndarray, starts: np.ndarray, factor: np.uint64) -> np.ndarray:
+def lowest(items: np.ndarray, starts: np.ndarray, factor: np.uint32) -> np.ndarray:
     """The smallest of the items of each set, in an order of their own for each odd factor."""
-    with np.errstate(over="ignore"):
-        x = items * factor
-        return np.minimum.reduceat((x ^ (x >> np.uint64(32))) * factor, starts)
+    x = items * factor
+    x ^= x >> np.uint32(15)
+    x *= factor
+    return np.minimum.reduceat(x, starts)
 
 
 def band_keys(items: np.ndarray, starts: np.ndarray, bands: int, band: int) -> np.ndarray:
     """A row for each set with the keys of its bands; ``starts`` are the first places of the sets, none empty."""
-    factors = np.random.default_rng(SEED).integers(1 << 63, size=bands * band, dtype=np.uint64) | np.uint64(1)
+    factors = np.random.default_rng(SEED).integers(1 << 32, size=bands * band, dtype=np.uint32) | np.uint32(1)
     keys = np.empty((len(starts), bands), np.uint64)
+    # Half of a hash orders a set as well, and takes a fraction of the time; equal halves cost a candidate at most.
+    items = (items ^ (items >> np.uint64(32))).astype(np.uint32)
     with np.errstate(over="ignore"):
         for k in range(bands):
             key = np.full(len(starts), k + 1, np.uint64)
@@ -94,7 +179,7 @@ def band_keys(items: np.ndarray, starts: np.ndarray, bands: int, band: int) -> n
 
 
 def signatures(sets: DataFrame, bands: int, band: int) -> DataFrame:
-    """(c, range, keys): the keys of the bands of all ``sets``, which have items."""
+    """(c, range, n, keys): the number of items and the keys of the bands of all ``sets``, which have items."""
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends = np.cumsum(batch.column("items").value_lengths().to_numpy(), dtype=np.int64)
@@ -107,20 +192,39 @@ def signatures(sets: DataFrame, bands: int, band: int) -> DataFrame:
                 starts = np.append(done, ends[at:until - 1]) - done
                 keys = band_keys(part.column("items").flatten().to_numpy().view(np.uint64), starts, bands, band)
                 listed = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * bands, keys.ravel())
-                yield pa.RecordBatch.from_arrays([part.column("c"), part.column("range"), listed], ["c", "range", "keys"])
+                sizes = pa.array(np.diff(np.append(done, ends[at:until])))
+                yield pa.RecordBatch.from_arrays([part.column("c"), part.column("range"), sizes, listed], ["c", "range", "n", "keys"])
                 at = until
 
-    return sets.select("c", "range", "items").mapInArrow(of_batches, "c long, range long, keys array<long>")
+    return sets.select("c", "range", "items").mapInArrow(of_batches, "c long, range long, n long, keys array<long>")
+
+
+def similar_pairs(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs whose sorted sets ``items`` and ``others`` are similar."""
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, n), (y, m) = ((batch.column(c).flatten().to_numpy(), batch.column(c).value_lengths().to_numpy().astype(np.int64)) for c in ("items", "others"))
+            shared = np.empty(len(batch), np.int64)
+            to_x, to_y = np.cumsum(n), np.cumsum(m)
+            for k, (a, b, c, d) in enumerate(zip((to_x - n).tolist(), to_x.tolist(), (to_y - m).tolist(), to_y.tolist(), strict=True)):
+                both = np.concatenate([x[a:b], y[c:d]])
+                both.sort()
+                shared[k] = np.count_nonzero(both[1:] == both[:-1])
+            yield batch.select(["a", "b"]).filter(pa.array(100 * shared >= percent * (n + m - shared)))
+
+    return pairs.select("a", "b", "items", "others").mapInArrow(of_batches, "a long, b long")
 
 
 def pair_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the similar among the classes that share a bucket (bucket, c)."""
-    x, y = buckets.select("bucket", F.col("c").alias("a")), buckets.select("bucket", F.col("c").alias("b"))
-    pairs = x.join(y, "bucket").filter("a < b").select("a", "b").distinct()
-    one = sets.select(F.col("c").alias("a"), "n", "items")
-    two = sets.select(F.col("c").alias("b"), F.col("n").alias("other_n"), F.col("items").alias("others"))
-    sized = pairs.join(one, "a").join(two, "b").filter(100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
-    return sized.select("a", "b", "n", "other_n", shared_with("others")).filter(similar(percent)).select("a", "b")
+    """(a, b): the similar among the classes that share a bucket (bucket, c, n)."""
+    x = buckets.select("bucket", F.col("c").alias("a"), "n")
+    y = buckets.select("bucket", F.col("c").alias("b"), F.col("n").alias("other_n"))
+    # Sets of too different sizes are told before any set is moved.
+    near = x.join(y, "bucket").filter("a < b").filter(100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
+    pairs = near.select("a", "b").distinct()
+    one = sets.select(F.col("c").alias("a"), "items")
+    two = sets.select(F.col("c").alias("b"), F.col("items").alias("others"))
+    return similar_pairs(pairs.join(one, "a").join(two, "b"), percent)
 
 
 def pivot_links(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -139,8 +243,8 @@ def pivot_links(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
 
 def story_links(sets: DataFrame, percent: int, bands: int, band: int, paired: int, rounds: int) -> DataFrame:
     """(a, b): links that connect all similar classes (range, c, n, items) that share a bucket of their range."""
-    keyed = checkpointed(signatures(sets, bands, band).select("c", F.explode("keys").alias("key"), "range").select(
-        "c", F.xxhash64("key", "range").alias("bucket")))
+    keyed = checkpointed(signatures(sets, bands, band).select("c", "n", F.explode("keys").alias("key"), "range").select(
+        "c", "n", F.xxhash64("key", "range").alias("bucket")))
     sizes = checkpointed(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.min("c").alias("hub")).filter("classes > 1"))
     small = keyed.join(sizes.filter(F.col("classes") <= paired).select("bucket"), "bucket")
     links = pair_links(small, sets, percent)
@@ -156,7 +260,7 @@ def story_links(sets: DataFrame, percent: int, bands: int, band: int, paired: in
         links, members = links.unionByName(found), checkpointed(left)
         if members.isEmpty():
             return links
-    rest = keyed.join(crowded.select("bucket"), "bucket").join(members.select("c"), "c", "left_semi").select("bucket", "c")
+    rest = keyed.join(crowded.select("bucket"), "bucket").join(members.select("c"), "c", "left_semi").select("bucket", "c", "n")
     return links.unionByName(pair_links(rest, members, percent))
 
 
@@ -169,17 +273,19 @@ def similar_stories(
     ``range`` numbers the stretches of ``range_days`` days since 1970.
     """
     rows = spread(articles.select("id", told_at().alias("at"), "original_summary")).select(
-        "id", day_of(F.col("at")).alias("day"), F.sort_array(shingles(F.col("original_summary"), width)).alias("items"))
+        "id", day_of(F.col("at")).alias("day"), "original_summary")
     rows = rows.withColumn("range", F.floor(F.col("day") / range_days).cast("long"))
-    rows = checkpointed(rows.withColumn("digest", F.md5(F.array_join("items", ","))).dropDuplicates(["id"]))
-    worded = rows.filter(F.size("items") > 0)
+    rows = checkpointed(word_sets(rows, "original_summary", width))
+    if not rows.groupBy("id").count().filter("count > 1").isEmpty():
+        rows = checkpointed(rows.dropDuplicates(["id"]))
+    worded = rows.filter("n > 0")
     classes = worded.groupBy("range", "digest").agg(F.min("id").alias("c"))
     sets = checkpointed(worded.join(classes.select(F.col("c").alias("id")), "id", "left_semi").select(
-        F.col("id").alias("c"), "range", F.size("items").cast("long").alias("n"), "items"))
+        F.col("id").alias("c"), "range", "n", "items"))
     roots = components(story_links(sets, percent, bands, band, paired, rounds))
     named = checkpointed(classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
         "range", "digest", F.coalesce("root", "c").alias("story_id")))
-    same = rows["range"].eqNullSafe(named["range"]) & (rows["digest"] == named["digest"]) & (F.size(rows["items"]) > 0)
+    same = rows["range"].eqNullSafe(named["range"]) & (rows["digest"] == named["digest"]) & (rows["n"] > 0)
     told = rows.join(named, same, "left").select(
         rows["id"], rows["range"], "day", F.coalesce("story_id", rows["id"]).alias("story_id"))
     sizes = told.groupBy(F.col("story_id").alias("s")).agg(F.count(F.lit(1)).alias("story_size"))
