@@ -13,7 +13,8 @@ counts of smaller words shift it in the other. Steps go right, left, right and l
 words to phrases of five.
 
 The counts of all shards are added up step by step: words and pairs first, in one pass and
-by nothing but their hash, as most pairs are rare and dropped, then each longer phrase. Only phrases with ``LEAST`` occurrences in their language are extended: a rarer one
+by nothing but their hash, as most pairs are rare and dropped, then each longer phrase. The pairs that
+stay are not counted again: one shard that holds a pair tells its words. Only phrases with ``LEAST`` occurrences in their language are extended: a rarer one
 is part of no longer one that counts. Which these are is told to the shards as a bit table
 of fixed size, over hashes; a bit that a rarer phrase happens to share costs work but no
 exactness, as what it extends to is counted again. A longer phrase is counted only if its
@@ -63,6 +64,8 @@ NEXT = re.compile(r"[\x20\x09]*([^\x20\x09.,;:!?\x0A-\x0D]+)")
 SIDES = ("right", "left")
 #: Bits of the name of a bit that tells of a frequent phrase: tables of 2 MB.
 BITS = 24
+#: Low bits of a shard's name that tell it among those that hold a phrase.
+NAMED = 24
 #: Tasks that read the shards, shards that a task reads for their words, and words it remembers.
 TASKS, TOGETHER, SEEN = 10_000, 16, 1 << 20
 
@@ -303,16 +306,59 @@ def in_parts(*columns: np.ndarray, names: list[str], most: int = 1 << 16) -> Ite
 
 
 def words_and_pairs(folder: str, shards: DataFrame, least: int) -> DataFrame:
-    """(id, f) of the words and pairs that occur ``least`` times or more; the numbers of words are even."""
+    """(id, f, teller) of the words and pairs that occur ``least`` times or more; the numbers of words are even.
+
+    The low bits of ``teller`` are those of a shard that holds it, and differ from phrase to phrase.
+    """
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 for p, w, n in Index(folder, row["shard"]).phrases(2, []):
                     ids = joined_ids(p, w) if p.any() else w
-                    yield from in_parts(ids, row["sign"] * n, names=["id", "n"])
+                    yield from in_parts(ids, row["sign"] * n, tellers(ids, row["shard"]), names=["id", "n", "teller"])
+
+    rows = shards.mapInArrow(of_batches, "id long, n long, teller int")
+    often = rows.groupBy("id").agg(F.sum("n").alias("f"), F.min("teller").alias("teller"))
+    return landed(often.where(F.col("f") >= least), "phrases")
+
+
+def tellers(ids: np.ndarray, shard: int) -> np.ndarray:
+    """A lot that the shard draws for each phrase, above the low bits of its name: the smallest of all shards tells the phrase."""
+    with np.errstate(over="ignore"):
+        lots = mix(ids.view(np.uint64) ^ np.uint64(shard)) >> np.uint64(64 - 31 + NAMED)
+    return (lots << np.uint64(NAMED) | np.uint64(shard % (1 << NAMED))).astype(np.int32)
+
 
-    rows = shards.mapInArrow(of_batches, "id long, n long")
-    return landed(rows.groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "phrases")
+def told_pairs(folder: str, shards: DataFrame, pairs: DataFrame, mask: np.ndarray) -> DataFrame:
+    """(id, p, w, f) of ``pairs`` (id, f, teller), each told by the shard it names, as their counts are known.
+
+    A shard is given no more pairs than it holds.
+    """
+    name = lambda c: F.col(c).bitwiseAND(F.lit((1 << NAMED) - 1)).cast("int").alias("name")
+    lists = pairs.groupBy(name("teller")).agg(F.collect_list("id").alias("ids"), F.collect_list("f").alias("fs"))
+    given = shards.select("shard", name("shard")).join(lists, "name").select("shard", "ids", "fs")
+    given = landed(given, "given")
+    given = landed(given.repartition(max(1, min(given.count(), TASKS))), "given")
+    shared = shards.sparkSession.sparkContext.broadcast([mask])
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, shard in enumerate(batch.column("shard").to_pylist()):
+                ids, fs = (batch.column(c)[k].values.to_numpy() for c in ("ids", "fs"))
+                by = np.argsort(ids)
+                ids, fs = ids[by], fs[by]
+                *_, (p, w, _) = Index(folder, shard).phrases(2, shared.value)
+                found = joined_ids(p, w)
+                at = np.minimum(np.searchsorted(ids, found), len(ids) - 1)
+                hit = np.flatnonzero(ids[at] == found)
+                if len(np.unique(at[hit])) < len(hit):
+                    raise ValueError("two pairs have one hash")
+                yield from in_parts(found[hit], p[hit], w[hit], fs[at[hit]], names=["id", "p", "w", "f"])
+
+    # Two shards may share the low bits of their names.
+    told = landed(given.mapInArrow(of_batches, "id long, p long, w long, f long").distinct(), "phrases")
+    shared.unpersist()
+    return told
 
 
 def counted(folder: str, shards: DataFrame, depth: int, masks: list[np.ndarray], least: int) -> DataFrame:
@@ -384,8 +430,11 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least: int
     every, masks = level, [mask_of(level, BITS)]
     for k in range(2, depth + 1):
         if k == 2:
-            masks.append(mask_of(first.where("id % 2 != 0"), BITS))
-        found = counted(folder, shards, k, masks, least)
+            pairs = first.where("id % 2 != 0")
+            found = told_pairs(folder, shards, pairs, masks[0])
+            masks.append(mask_of(pairs, BITS))
+        else:
+            found = counted(folder, shards, k, masks, least)
         order = ("ws", F.array("w")) if SIDES[k % 2] == "right" else (F.array("w"), "ws")
         level = landed(found.join(level.select(F.col("id").alias("p"), "ws"), "p").select("id", F.concat(*order).alias("ws"), "f"), "level")
         every = every.unionByName(level)
