@@ -22,3 +22,20 @@ def test_runs_of_repeated_rows_combine_before_the_shuffle(spark):
     assert "collect_list" not in found._jdf.queryExecution().toString()
     rows = [tuple(r) for r in found.select("shift", "starts").collect()]
     assert len(rows) == 3 * len(set(rows))
+
+
+def test_runs_with_one_text_are_split(spark):
+    docs = spark.range(0, 4000, 1, 8).selectExpr("id AS doc_id", f"'{' '.join(f'word{k}' for k in range(70))}' AS text")
+    skew = "spark.sql.adaptive.skewJoin.skewedPartition"
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", f"{skew}ThresholdInBytes": "4k", f"{skew}Factor": "1.5"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = suffix.removals(docs)
+        rows = found.collect()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert {r["doc_id"] for r in rows} == set(range(4000))
+    assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
