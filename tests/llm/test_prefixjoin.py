@@ -75,6 +75,21 @@ def test_linked_sets_share_a_prefix_shingle():
             assert set(prefixjoin.prefix_of(a, level, 90).tolist()) & set(prefixjoin.prefix_of(b, level, 90).tolist())
 
 
+@pytest.mark.parametrize("bounds", [{}, {"most": 2, "block_classes": 3}, {"most": 1, "group_classes": 3, "block_classes": 7}])
+def test_number_of_links(spark, clusters, bounds):
+    """Every link counts, whether others connect its documents or not."""
+    rows = [*clusters, (None, clusters[3][1]), (None, None), (7000, ""), (7001, "one"), (7002, "ONE"), (7003, "one two three four")]
+    sets = [brute.shingles(t, 3) for _, t in rows]
+    want = Counter()
+    for i, ((doc_id, _), (_, size, component)) in enumerate(zip(rows, brute.near_groups(rows, 3, percent=90), strict=True)):
+        n = sum(100 * len(sets[i] & s) >= 90 * len(sets[i] | s) for k, s in enumerate(sets) if k != i) if sets[i] else 0
+        want[doc_id, size, component, n] += 1
+    got = Counter(map(tuple, prefixjoin.linked(spark.createDataFrame(rows, SCHEMA).repartition(5), **bounds).collect()))
+    assert got == want
+    # More links than connect the documents.
+    assert sum(k * n for (_, _, _, n), k in want.items()) > 2 * len(rows)
+
+
 def test_other_similarity_by_parts(spark, clusters):
     agrees(prefixjoin.joined(spark.createDataFrame(clusters, SCHEMA), percent=70, most=2, block_classes=5).collect(), clusters, 70)
 
